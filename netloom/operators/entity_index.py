@@ -113,30 +113,27 @@ def build_index(type_name: str, sources: Sequence[DataFrame], prefix: str = ID_P
     with the same name become one entity, whose id is derived from that name.
     Names are settled before aliases are attached, so merged clusters are expanded once.
     """
-    rows = materialize(_source_rows(sources), "source-rows")
-    member = _memberships(rows, len(sources))
-    names = rows.groupBy("src", "id").agg(F.min("name").alias("name"))
-    cluster_names = (
-        member.join(names, ["src", "id"]).groupBy("lead_src", "lead_id").agg(F.min("name").alias("NAME"))
-    )
-    named = (
-        member.join(cluster_names, ["lead_src", "lead_id"])
-        .select("NAME", "src", "id")
-        .distinct()
-        .withColumn("IDX", entity_id(type_name, F.col("NAME"), prefix=prefix))
-        .withColumn("TYPE", F.lit(type_name))
-    )
+    rows = _source_rows(sources)
     if len(sources) > 1:
-        named = materialize(named, "entities")
+        rows = materialize(rows, "source-rows")
+    names = rows.groupBy("src", "id").agg(F.min("name").alias("NAME"))
+    if len(sources) > 1:
+        member = _memberships(rows, len(sources))
+        cluster_names = (
+            member.join(names, ["src", "id"]).groupBy("lead_src", "lead_id").agg(F.min("NAME").alias("NAME"))
+        )
+        names = member.join(cluster_names, ["lead_src", "lead_id"]).select("NAME", "src", "id").distinct()
+        names = materialize(names, "entities")
     keys = ["IDX", "NAME", "TYPE"]
-    aliases = spread_join(
-        named.select(*keys, "src", "id"),
-        rows.where(F.col("alias").isNotNull()).select("src", "id", "alias").distinct(),
-        ["src", "id"],
+    named = names.withColumn("IDX", entity_id(type_name, F.col("NAME"), prefix=prefix)).withColumn(
+        "TYPE", F.lit(type_name)
     )
+    known = rows.where(F.col("alias").isNotNull()).select("src", "id", "alias")
+    # With one source an id has one entity; with several it can have many, and many aliases.
+    expand = spread_join if len(sources) > 1 else DataFrame.join
     return EntityIndex(
         type_name,
-        aliases.select(*keys, "alias").distinct(),
+        expand(known, named, ["src", "id"]).select(*keys, "alias").distinct(),
         named.select(*keys, F.col("id").alias("SOURCE_ID")).distinct(),
     )
 

@@ -14,8 +14,8 @@ things keep that work small and even:
 
 Only ordered pairs ``wid1 < wid2`` are aggregated; the mirrored half is derived from them afterwards.
 
-The counted annotations and the pair table are each read several times, by plans that keep different columns and so
-cannot share a shuffle. ``stored_counts`` and ``stored_pairs`` write them once to the shared folder.
+The stages are ``mention_counts`` -> ``weighted_profiles`` -> ``pair_table``. Each result is read several times, by plans that
+keep different columns and so cannot share a shuffle; the ``stored_`` forms write it once to the shared folder.
 """
 
 from __future__ import annotations
@@ -79,6 +79,10 @@ def weighted_profiles(counts: DataFrame) -> DataFrame:
     return counts.join(reps, "pmid").join(entity_degrees(counts), "wiki_id")
 
 
+def stored_profiles(counts: DataFrame) -> DataFrame:
+    return materialize(weighted_profiles(counts), "profiles")
+
+
 def profile_pairs(profiles: DataFrame, block: int = 4096) -> DataFrame:
     """All pairs wid1 < wid2 inside each document, with the columns of both ends.
 
@@ -100,15 +104,14 @@ def profile_pairs(profiles: DataFrame, block: int = 4096) -> DataFrame:
     return left.join(right, ["pmid", "_i", "_j"]).where(F.col("wid1") < F.col("wid2")).drop("_i", "_j")
 
 
-def pair_table(counts: DataFrame, block: int = 4096) -> DataFrame:
+def pair_table(profiles: DataFrame, block: int = 4096) -> DataFrame:
     """(wid1 < wid2, shared, freq, docs1, docs2): everything the scores need about a pair.
 
     ``shared`` sums mentions1 * mentions2 / degree over the common documents, ``freq`` is the number of common
     documents, ``docs1`` and ``docs2`` the degrees of the two entities. The degrees travel with
     the rows of the (smaller) document-entity table, so the pair table is shuffled once.
     """
-    pairs = profile_pairs(weighted_profiles(counts), block)
-    return pairs.groupBy("wid1", "wid2").agg(
+    return profile_pairs(profiles, block).groupBy("wid1", "wid2").agg(
         F.sum(F.col("copies") * F.col("m1") * F.col("m2") / F.col("degree")).alias("shared"),
         F.sum("copies").alias("freq"),
         F.max("docs1").alias("docs1"),
@@ -116,8 +119,8 @@ def pair_table(counts: DataFrame, block: int = 4096) -> DataFrame:
     )
 
 
-def stored_pairs(counts: DataFrame, block: int = 4096) -> DataFrame:
-    return materialize(pair_table(counts, block), "pairs")
+def stored_pairs(profiles: DataFrame, block: int = 4096) -> DataFrame:
+    return materialize(pair_table(profiles, block), "pairs")
 
 
 def _projection(shared: Column, docs_from: Column, docs_to: Column, alpha: float) -> Column:
@@ -136,16 +139,12 @@ def _directed(pairs: DataFrame, alpha: float, *extra: str) -> DataFrame:
     return pairs.select(F.inline(F.array(forward, backward)), *extra)
 
 
-def _row_maxima(counts: DataFrame, pairs: DataFrame, alpha: float) -> DataFrame:
+def _row_maxima(profiles: DataFrame, pairs: DataFrame, alpha: float) -> DataFrame:
     """(wid1, w_max): the largest weight of each row, the entity's weight with itself included."""
-    degrees = counts.groupBy("pmid").agg(F.count(F.lit(1)).alias("degree"))
+    square = F.col("copies") * F.col("mentions") * F.col("mentions") / F.col("degree")
     own = (
-        counts.join(degrees, "pmid")
-        .groupBy("wiki_id")
-        .agg(
-            F.sum(F.col("mentions") * F.col("mentions") / F.col("degree")).alias("shared"),
-            F.count(F.lit(1)).alias("docs"),
-        )
+        profiles.groupBy("wiki_id")
+        .agg(F.sum(square).alias("shared"), F.max("docs").alias("docs"))
         .select(
             F.col("wiki_id").alias("wid1"),
             _projection(F.col("shared"), F.col("docs"), F.col("docs"), alpha).alias("w"),
@@ -155,13 +154,13 @@ def _row_maxima(counts: DataFrame, pairs: DataFrame, alpha: float) -> DataFrame:
     return own.unionByName(others).groupBy("wid1").agg(F.max("w").alias("w_max"))
 
 
-def dt_hybrid(counts: DataFrame, pairs: DataFrame, alpha: float = 0.5) -> DataFrame:
+def dt_hybrid(profiles: DataFrame, pairs: DataFrame, alpha: float = 0.5) -> DataFrame:
     """(wid1, wid2, w_norm): degree-normalised bipartite projection, both directions, no diagonal.
 
     W(i, j) = shared(i, j) * docs(i)^-alpha * docs(j)^(alpha - 1), divided by the largest W of row i
-    (diagonal included). ``counts`` and ``pairs`` come from the same annotations.
+    (diagonal included). ``pairs`` is the pair table of ``profiles``.
     """
-    maxima = _row_maxima(counts, pairs, alpha)
+    maxima = _row_maxima(profiles, pairs, alpha)
     return (
         _directed(pairs, alpha)
         .join(maxima, "wid1")
@@ -247,7 +246,7 @@ def predict(w_norm: DataFrame, rel: DataFrame, freq: DataFrame, n: int = 500) ->
 
 
 def predict_from_pairs(
-    counts: DataFrame, pairs: DataFrame, n_docs: Column, alpha: float = 0.5, n: int = 500
+    profiles: DataFrame, pairs: DataFrame, n_docs: Column, alpha: float = 0.5, n: int = 500
 ) -> DataFrame:
     """Same result as ``predict`` straight from the pair table, without joining three edge tables.
 
@@ -260,6 +259,6 @@ def predict_from_pairs(
     )
     return (
         _best(raw, F.col("raw"), n)
-        .join(_row_maxima(counts, pairs, alpha), "wid1")
+        .join(_row_maxima(profiles, pairs, alpha), "wid1")
         .select("wid1", "wid2", (F.col("raw") / F.col("w_max")).alias("score"))
     )

@@ -32,17 +32,19 @@ def build_scores(spark: SparkSession, cfg: JobConfig, annotations: DataFrame) ->
         return read_table(spark, write_table(df, cfg.table(name), range_by=range_by))
 
     counts = store("counts", scoring.mention_counts(annotations, cfg.weight))
-    pairs = store("pairs", scoring.pair_table(counts, cfg.block))
+    profiles = store("profiles", scoring.weighted_profiles(counts))
+    pairs = store("pairs", scoring.pair_table(profiles, cfg.block))
     n_docs = scoring.corpus_size(counts)
     return {
         "counts": counts,
+        "profiles": profiles,
         "pairs": pairs,
-        "w_matrix": store("w_matrix", scoring.dt_hybrid(counts, pairs, cfg.alpha), ("wid1",)),
+        "w_matrix": store("w_matrix", scoring.dt_hybrid(profiles, pairs, cfg.alpha), ("wid1",)),
         "pair_freq": store("pair_freq", scoring.pair_freq(pairs)),
         "pair_evidence": store("pair_evidence", scoring.pair_evidence(counts, cfg.evidence, cfg.block)),
         "relatedness": store("relatedness", scoring.relatedness(pairs, n_docs)),
         "surface_forms": store("surface_forms", scoring.surface_forms(annotations)),
         "prediction": store(
-            "prediction", scoring.predict_from_pairs(counts, pairs, n_docs, cfg.alpha, cfg.top), ("wid1",)
+            "prediction", scoring.predict_from_pairs(profiles, pairs, n_docs, cfg.alpha, cfg.top), ("wid1",)
         ),
     }

@@ -31,19 +31,21 @@ def update_scores(spark: SparkSession, cfg: JobConfig, batch: DataFrame, run: st
     delta = materialize(incremental.new_annotations(batch, history), "delta")
     annotations = store("annotations", union_all([history, delta]))
     delta_counts = scoring.stored_counts(delta, "distinct")
-    delta_freq = scoring.pair_freq(scoring.pair_table(delta_counts, cfg.block))
+    delta_freq = scoring.pair_freq(scoring.pair_table(scoring.stored_profiles(delta_counts), cfg.block))
     freq = store("pair_freq", incremental.add_pair_counts(old("pair_freq"), delta_freq))
     forms = old("surface_forms")
     new_forms = incremental.new_surface_forms(scoring.surface_forms(delta), forms)
     evidence = scoring.pair_evidence(delta_counts, cfg.evidence, cfg.block)
     counts = store("counts", scoring.mention_counts(annotations, cfg.weight))
-    pairs = store("pairs", scoring.pair_table(counts, cfg.block))
+    profiles = store("profiles", scoring.weighted_profiles(counts))
+    pairs = store("pairs", scoring.pair_table(profiles, cfg.block))
     scored = old("relatedness")
     unseen = scoring.unscored_pairs(pairs, scored)
     n_docs = scoring.corpus_size(counts)
     return {
         "annotations": annotations,
         "counts": counts,
+        "profiles": profiles,
         "pairs": pairs,
         "pair_freq": freq,
         "surface_forms": store("surface_forms", union_all([forms, new_forms])),
@@ -51,8 +53,8 @@ def update_scores(spark: SparkSession, cfg: JobConfig, batch: DataFrame, run: st
             "pair_evidence", incremental.add_evidence(old("pair_evidence"), evidence, cfg.evidence)
         ),
         "relatedness": store("relatedness", union_all([scored, scoring.relatedness(unseen, n_docs)])),
-        "w_matrix": store("w_matrix", scoring.dt_hybrid(counts, pairs, cfg.alpha)),
+        "w_matrix": store("w_matrix", scoring.dt_hybrid(profiles, pairs, cfg.alpha)),
         "prediction": store(
-            "prediction", scoring.predict_from_pairs(counts, pairs, n_docs, cfg.alpha, cfg.top)
+            "prediction", scoring.predict_from_pairs(profiles, pairs, n_docs, cfg.alpha, cfg.top)
         ),
     }

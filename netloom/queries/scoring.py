@@ -34,31 +34,42 @@ def brands(t: Tables) -> DataFrame:
     return lines.select(F.col("l_orderkey").alias("pmid"), F.col("p_brand").alias("wiki_id"))
 
 
+def graph(annotations: DataFrame, weight: str = "mentions") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored counts, profiles and pairs."""
+    counts = scoring.stored_counts(annotations, weight)
+    profiles = scoring.stored_profiles(counts)
+    return counts, profiles, scoring.stored_pairs(profiles)
+
+
+def pair_counts(annotations: DataFrame) -> DataFrame:
+    counts = scoring.stored_counts(annotations, "distinct")
+    return scoring.pair_freq(scoring.pair_table(scoring.stored_profiles(counts)))
+
+
 @register(f"with {pair_ctes(PARTS_SQL)} select wid1, wid2, round(w_norm + 1e-12, 6) as w_norm from wn")
 def dt_hybrid(t: Tables) -> DataFrame:
-    counts = scoring.stored_counts(parts(t))
-    found = scoring.dt_hybrid(counts, scoring.stored_pairs(counts))
+    _, profiles, pairs = graph(parts(t))
+    found = scoring.dt_hybrid(profiles, pairs)
     return found.select("wid1", "wid2", rounded("w_norm"))
 
 
 @register(f"with {pair_ctes(PARTS_SQL, 'distinct')} select wid1, wid2, round(w_norm + 1e-12, 6) as w_norm from wn")
 def dt_hybrid_distinct(t: Tables) -> DataFrame:
-    counts = scoring.stored_counts(parts(t), "distinct")
-    found = scoring.dt_hybrid(counts, scoring.stored_pairs(counts))
+    _, profiles, pairs = graph(parts(t), "distinct")
+    found = scoring.dt_hybrid(profiles, pairs)
     return found.select("wid1", "wid2", rounded("w_norm"))
 
 
 @register(f"with {pair_ctes(BRANDS_SQL)} select wid1, wid2, round(w_norm + 1e-12, 6) as w_norm from wn")
 def dt_hybrid_brands(t: Tables) -> DataFrame:
-    counts = scoring.stored_counts(brands(t))
-    found = scoring.dt_hybrid(counts, scoring.stored_pairs(counts))
+    _, profiles, pairs = graph(brands(t))
+    found = scoring.dt_hybrid(profiles, pairs)
     return found.select("wid1", "wid2", rounded("w_norm"))
 
 
 @register(f"with {pair_ctes(PARTS_SQL)} select wid1, wid2, cast(freq as bigint) as freq from freq")
 def pair_freq(t: Tables) -> DataFrame:
-    counts = scoring.stored_counts(parts(t), "distinct")
-    return scoring.pair_freq(scoring.pair_table(counts))
+    return pair_counts(parts(t))
 
 
 @register(
@@ -79,8 +90,8 @@ def entity_surface_forms(t: Tables) -> DataFrame:
 
 @register(f"with {pair_ctes(PARTS_SQL)} select wid1, wid2, round(relatedness + 1e-12, 6) as relatedness from rel")
 def pair_relatedness(t: Tables) -> DataFrame:
-    counts = scoring.stored_counts(parts(t))
-    found = scoring.relatedness(scoring.pair_table(counts), scoring.corpus_size(counts))
+    counts, _, pairs = graph(parts(t))
+    found = scoring.relatedness(pairs, scoring.corpus_size(counts))
     return found.select("wid1", "wid2", rounded("relatedness"))
 
 
@@ -97,10 +108,9 @@ PREDICTION_SQL = (
 @register(PREDICTION_SQL.replace("{key}", "w_norm * relatedness * freq"))
 def prediction_topn(t: Tables) -> DataFrame:
     """The three stored edge tables joined, as a later run would read them."""
-    counts = scoring.stored_counts(parts(t))
-    pairs = scoring.stored_pairs(counts)
+    counts, profiles, pairs = graph(parts(t))
     found = scoring.predict(
-        scoring.dt_hybrid(counts, pairs),
+        scoring.dt_hybrid(profiles, pairs),
         scoring.relatedness(pairs, scoring.corpus_size(counts)),
         scoring.pair_freq(pairs),
         TOP,
@@ -111,9 +121,8 @@ def prediction_topn(t: Tables) -> DataFrame:
 @register(PREDICTION_SQL.replace("{key}", "w * (relatedness * freq)"))
 def prediction_topn_one_pass(t: Tables) -> DataFrame:
     """The same ranking straight from the pair table."""
-    counts = scoring.stored_counts(parts(t))
-    pairs = scoring.stored_pairs(counts)
-    found = scoring.predict_from_pairs(counts, pairs, scoring.corpus_size(counts), n=TOP)
+    counts, profiles, pairs = graph(parts(t))
+    found = scoring.predict_from_pairs(profiles, pairs, scoring.corpus_size(counts), n=TOP)
     return found.select("wid1", "wid2", rounded("score"))
 
 
@@ -138,10 +147,9 @@ def by_date(t: Tables, entities: str = "parts") -> tuple[DataFrame, DataFrame]:
 )
 def relatedness_unseen(t: Tables) -> DataFrame:
     """Relatedness of the pairs that the older orders have not scored yet."""
-    counts = scoring.stored_counts(parts(t))
+    counts, _, pairs = graph(parts(t))
     before, _ = by_date(t)
-    scored = scoring.pair_table(scoring.stored_counts(before))
-    unseen = scoring.unscored_pairs(scoring.pair_table(counts), scored)
+    unseen = scoring.unscored_pairs(pairs, pair_counts(before))
     found = scoring.relatedness(unseen, scoring.corpus_size(counts))
     return found.select("wid1", "wid2", rounded("relatedness"))
 
@@ -149,8 +157,8 @@ def relatedness_unseen(t: Tables) -> DataFrame:
 @register(f"with {pair_ctes(PARTS_SQL)} select wid1, wid2, cast(freq as bigint) as freq from freq")
 def incremental_pair_sum(t: Tables) -> DataFrame:
     """Counts of old and new orders, added; equals the count over all orders."""
-    old, new = (scoring.pair_freq(scoring.pair_table(scoring.stored_counts(p, "distinct"))) for p in by_date(t))
-    return incremental.add_pair_counts(old, new)
+    old, new = by_date(t)
+    return incremental.add_pair_counts(pair_counts(old), pair_counts(new))
 
 
 @register(
@@ -254,8 +262,8 @@ ENTITY_SQL = (
 @register(ENTITY_SQL)
 def entity_network(t: Tables) -> DataFrame:
     """Part pairs translated to brand and type, scores in millionths so that their mean is exact."""
-    counts = scoring.stored_counts(parts(t))
-    weights = scoring.dt_hybrid(counts, scoring.stored_pairs(counts))
+    _, profiles, pairs = graph(parts(t))
+    weights = scoring.dt_hybrid(profiles, pairs)
     score = F.floor(F.col("w_norm") * F.lit(1e6) + F.lit(0.500001)).cast("bigint")
     bridge = t.part.select(
         F.col("p_partkey").alias("wiki_id"), F.concat_ws("/", "p_brand", "p_type").alias("IDX")

@@ -15,6 +15,10 @@ RUNTIME_SETTINGS = {
     # Split a skewed join partition even when the next operator then needs a shuffle of its own.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
+    # Hash instead of sort a shuffled join whose measured partitions are all below this size.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Compressed files are several times larger in memory; broadcast decisions should know.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.exchange.reuse": "true",
 }
 
