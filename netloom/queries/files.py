@@ -1,3 +1,319 @@
-from netloom.queries.registry import Registry
+"""Sources and sinks: the tables are written in a source format to the shared folder and read back by the readers."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from netloom.operators import textjobs
+from netloom.queries.entities import text
+from netloom.queries.registry import Registry, Tables
+from netloom.session import new_path
+from netloom.sources import catalog
+from netloom.sources.spec import (
+    SourceSpec, fields, read_csv, read_json, read_lines, read_positional, read_source, read_stanzas, read_table,
+    read_tsv, read_xml, write_table, write_tsv,
+)
+from netloom.streaming.intake import start_intake, table_stream
 
 QUERIES = Registry()
+register = QUERIES.register
+
+
+def put_delimited(t: Tables, df: DataFrame, label: str, sep: str, header: bool = True) -> str:
+    path = new_path(t.spark, label)
+    df.write.option("sep", sep).option("header", header).csv(path)
+    return path
+
+
+def put_text(t: Tables, values: DataFrame, label: str) -> str:
+    path = new_path(t.spark, label)
+    values.write.text(path)
+    return path
+
+
+# --- delimited, JSON, parquet ---------------------------------------------------------------------
+
+
+@register("select cast(p_partkey as varchar) as id, lower(p_name) as name, p_size as size from part")
+def tsv_scan(t: Tables) -> DataFrame:
+    spec = SourceSpec("parts", fields(("p_partkey", "id"), ("p_name", "name", "lower"), ("p_size", "size", "int")))
+    return read_source(t.spark, spec, put_delimited(t, t.part, "tsv", "\t"))
+
+
+@register("select cast(p_partkey as varchar) as p_partkey, p_brand, p_type from part")
+def tsv_scan_dropping_columns(t: Tables) -> DataFrame:
+    path = put_delimited(t, t.part.select("p_partkey", "p_name", "p_brand", "p_type"), "tsv", "\t")
+    return read_tsv(t.spark, path, drop=["p_name"])
+
+
+@register("select cast(c_custkey as varchar) as id, upper(c_name) as name from customer")
+def csv_scan(t: Tables) -> DataFrame:
+    path = put_delimited(t, t.customer.select("c_custkey", "c_name"), "csv", ",")
+    return read_csv(t.spark, path, select=["c_custkey as id", "upper(c_name) as name"])
+
+
+@register("select cast(o_orderkey as varchar) as id, o_orderpriority as priority from orders")
+def headerless_scan(t: Tables) -> DataFrame:
+    path = put_delimited(t, t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"), "plain", "\t", header=False)
+    return read_positional(t.spark, path, {0: "id", 2: "priority"})
+
+
+@register(
+    "select cast(l_orderkey as varchar) as protein1, cast(l_partkey as varchar) as protein2, cast(l_quantity as integer) as score "
+    "from lineitem"
+)
+def space_separated_scan(t: Tables) -> DataFrame:
+    rows = t.lineitem.select(
+        F.col("l_orderkey").alias("protein1"), F.col("l_partkey").alias("protein2"),
+        F.col("l_quantity").cast("int").alias("combined_score"),
+    )
+    return read_source(t.spark, catalog.NETWORK_PROTEIN_LINKS, put_delimited(t, rows, "links", " "))
+
+
+@register("select doc_id, lang, md5(text) as digest from documents")
+def json_scan(t: Tables) -> DataFrame:
+    path = write_table(t.documents, new_path(t.spark, "json"), fmt="json")
+    found = read_json(t.spark, path, "doc_id bigint, lang string, text string")
+    return found.select("doc_id", "lang", F.md5("text").alias("digest"))
+
+
+@register("select l_orderkey, l_partkey from lineitem")
+def parquet_scan(t: Tables) -> DataFrame:
+    path = write_table(t.lineitem, new_path(t.spark, "ranges"), range_by=["l_partkey"])
+    return read_table(t.spark, path, ["l_orderkey", "l_partkey"])
+
+
+@register("select cast(n_nationkey as varchar) as id, n_name as name from nation")
+def tsv_export(t: Tables) -> DataFrame:
+    """Single-file export, read back."""
+    rows = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    return read_tsv(t.spark, write_tsv(rows, new_path(t.spark, "export"), single_file=True))
+
+
+@register(
+    "select line, count(*) as n from (select unnest(string_split(text, chr(10))) as line from documents) d "
+    "where length(line) > 0 group by all"
+)
+def line_scan(t: Tables) -> DataFrame:
+    path = put_text(t, t.documents.select(F.col("text").alias("value")), "lines")
+    return read_lines(t.spark, path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- SQL dump -------------------------------------------------------------------------------------
+
+DUMP_HEADER = (
+    "-- Table structure",
+    "DROP TABLE IF EXISTS `SENTENCE`;",
+    "CREATE TABLE `SENTENCE` (",
+    "  `SENTENCE_ID` int(10) unsigned NOT NULL,",
+    "  `PMID` varchar(20) NOT NULL,",
+    "  `TYPE` varchar(2) NOT NULL,",
+    "  `NUMBER` int(10) unsigned NOT NULL,",
+    "  `SENTENCE` text,",
+    "  PRIMARY KEY (`SENTENCE_ID`),",
+    ") ENGINE=InnoDB;",
+    "-- Dumping data",
+)
+
+
+def dump_lines(t: Tables) -> DataFrame:
+    """The conversations as a SQL dump: a statement per turn, a tuple per line of text."""
+    kind = F.when(F.col("role") == "user", "ti").otherwise("ab")
+
+    def as_tuple(line: Column, i: Column) -> Column:
+        number = F.col("turn") * 1000000 + i
+        return F.concat(
+            F.lit("("), number, F.lit(",'"), F.col("conv_id"), F.lit("','"), kind, F.lit("',"), number, F.lit(",'"), line,
+            F.lit("')"),
+        )
+
+    tuples = F.array_join(F.transform(F.split("text", "\n"), as_tuple), ",")
+    data = t.conversations.select(F.concat(F.lit("INSERT INTO `SENTENCE` VALUES "), tuples, F.lit(";")).alias("value"))
+    # The data definition of the dump precedes the rows derived from the table.
+    quoted = ", ".join(f"'{line}'" for line in DUMP_HEADER)
+    return t.spark.sql(f"select explode(array({quoted})) as value").unionByName(data)
+
+
+@register(
+    "with s as (select conv_id, role, turn * 1000000 + i as n, replace(line, ',', ', ') || '.' as line from (select conv_id, role, "
+    "turn, unnest(generate_series(0, len(l) - 1)) as i, unnest(l) as line from (select conv_id, role, turn, "
+    "string_split(text, chr(10)) as l from conversations) c) q) "
+    "select conv_id as pmid, string_agg(case when role = 'user' then line end, ' ' order by n) as title, "
+    "string_agg(case when role <> 'user' then line end, ' ' order by n) as abstract from s group by all"
+)
+def sql_dump_sentences(t: Tables) -> DataFrame:
+    lines = read_lines(t.spark, put_text(t, dump_lines(t), "dump"))
+    rows = textjobs.dump_rows(lines, textjobs.dump_schema(lines))
+    found = textjobs.sentences_to_documents(rows)
+    return found.toDF(*[c.lower() for c in found.columns])
+
+
+# --- stanza files ---------------------------------------------------------------------------------
+
+
+def ontology_file(t: Tables) -> str:
+    name = F.when(F.col("p_size") == 1, F.concat(F.lit("obsolete "), F.col("p_name"))).otherwise(F.col("p_name"))
+    stanza = F.concat(
+        F.lit("[Term]\nid: PART:"), F.col("p_partkey"), F.lit("\nname: "), name,
+        F.lit("\nalt_id: OLD:"), F.col("p_size"), F.lit('\nsynonym: "'), F.col("p_brand"), F.lit('" EXACT []\nsynonym: "'),
+        F.col("p_type"), F.lit('" RELATED []\nis_a: TYPE:'), F.col("p_type"), F.lit(" ! "), F.col("p_type"), F.lit("\n"),
+    )
+    return put_text(t, t.part.select(stanza.alias("value")), "ontology")
+
+
+def _ontology(t: Tables) -> DataFrame:
+    return textjobs.ontology_terms(read_stanzas(t.spark, ontology_file(t), "\n["))
+
+
+@register(
+    "select 'PART:' || p_partkey as id, p_name as name, 'OLD:' || p_size as alt_ids, p_brand || '|' || p_type as synonyms, "
+    "'TYPE:' || p_type as parent_ids, lower(p_type) as parent_names from part where p_size <> 1"
+)
+def stanza_terms(t: Tables) -> DataFrame:
+    lists = [F.array_join(c, "|").alias(c) for c in ("alt_ids", "synonyms", "parent_ids", "parent_names")]
+    return _ontology(t).select("id", "name", *lists)
+
+
+@register(
+    "select distinct 'PART:' || p_partkey as id, lower(p_name) as name, lower(unnest([p_name, p_brand, p_type])) as other_name "
+    "from part where p_size <> 1"
+)
+def stanza_aliases(t: Tables) -> DataFrame:
+    return textjobs.ontology_aliases(_ontology(t))
+
+
+@register("select 'PART:' || p_partkey as id1, 'TYPE:' || p_type as id2 from part where p_size <> 1")
+def stanza_edges(t: Tables) -> DataFrame:
+    return textjobs.ontology_edges(_ontology(t))
+
+
+@register(
+    "select '1.1.' || p_partkey as enzyme_id, p_name as enzyme_name, 'P' || p_partkey as proteins, p_brand as synonyms "
+    "from part where p_size > 10 and p_size <> 50"
+)
+def enzyme_stanzas(t: Tables) -> DataFrame:
+    moved = F.when(F.col("p_size") == 50, "transferred to EC 9.9 (x)").otherwise(F.concat(F.lit("1.1."), F.col("p_partkey"), F.lit(" (x)")))
+    species = F.when(F.col("p_size") > 10, "Homo sapiens").otherwise("Mus musculus")
+    stanza = F.concat(
+        F.lit("ID\t"), moved, F.lit("\n***\n\nPROTEIN\nPR\t#1# "), species, F.lit(" P"), F.col("p_partkey"),
+        F.lit(" UniProt <1,2>\nPR\t#2# Bos taurus Q1 UniProt <3>\n\nRECOMMENDED_NAME\nRN\t"), F.col("p_name"),
+        F.lit("\nSYNONYMS\nSY\t"), F.col("p_brand"), F.lit("\nSY\t#1# "), F.col("p_type"), F.lit("\n"),
+    )
+    path = put_text(t, t.part.select(stanza.alias("value")), "enzymes")
+    found = textjobs.enzyme_records(read_stanzas(t.spark, path, "\nID\t"))
+    return found.select(
+        "enzyme_id", "enzyme_name", F.array_join("proteins", "|").alias("proteins"), F.array_join("synonyms", "|").alias("synonyms")
+    )
+
+
+# --- XML ------------------------------------------------------------------------------------------
+
+
+def xml_file(t: Tables, df: DataFrame, label: str, root: str, row: str) -> str:
+    path = new_path(t.spark, label)
+    df.write.format("xml").option("rootTag", root).option("rowTag", row).save(path)
+    return path
+
+
+@register(
+    "select doc_id as pmid, md5(source || ' ' || lang) as title, md5(case when lang = 'en' "
+    "then array_to_string(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), ' ') else '' end) as abstract from documents"
+)
+def xml_articles(t: Tables) -> DataFrame:
+    """Documents as article records, a paragraph per line; only English ones have an abstract."""
+    paragraphs = F.transform(F.split("text", "\n"), lambda x: F.trim(x))
+    record = F.struct(
+        F.struct(F.col("doc_id").alias("_VALUE"), F.lit("1").alias("_Version")).alias("PMID"),
+        F.struct(
+            F.concat_ws(" ", "source", "lang").alias("ArticleTitle"),
+            F.when(F.col("lang") == "en", F.struct(paragraphs.alias("AbstractText"))).alias("Abstract"),
+        ).alias("Article"),
+    )
+    path = xml_file(t, t.documents.select(record.alias("MedlineCitation")), "articles", "PubmedArticleSet", "PubmedArticle")
+    found = textjobs.articles(read_xml(t.spark, path, "PubmedArticle", textjobs.ARTICLE_SCHEMA))
+    return found.select(F.col("PMID").alias("pmid"), F.md5("Title").alias("title"), F.md5("Abstract").alias("abstract"))
+
+
+DRUG_KEYS = {"drug_id": "get(`drugbank-id`, 0)._VALUE", "drug_name": "name"}
+
+
+def drug_records(t: Tables) -> DataFrame:
+    """Parts as nested drug records, written as XML and read back."""
+    key, brand, kind, size = (F.col(c) for c in ("p_partkey", "p_brand", "p_type", "p_size"))
+    drug_id = F.concat(F.lit("DB"), key)
+
+    def ref(resource: str, value: Column) -> Column:
+        return F.struct(F.lit(resource).alias("resource"), value.alias("identifier"))
+
+    polypeptide = F.struct(
+        F.concat(F.lit("P"), key).alias("_id"), F.lit("Swiss").alias("_source"), F.col("p_name").alias("name"),
+        brand.alias("gene-name"),
+        F.struct(F.array(ref("HGNC", F.concat(F.lit("H"), key)), ref("GB", F.concat(F.lit("G"), key))).alias("external-identifier"))
+        .alias("external-identifiers"),
+        F.struct(F.array(kind, brand).alias("synonym")).alias("synonyms"),
+    )
+
+    def target(number: int, organism: Column) -> Column:
+        return F.struct(
+            F.concat(F.lit(f"BE{number}-"), key).alias("id"), F.concat(F.lit(f"t{number} "), kind).alias("name"),
+            organism.alias("organism"), F.array(polypeptide).alias("polypeptide"),
+        )
+
+    organism = F.when(size > 25, "Humans").otherwise("Yeast")
+    interactions = F.array(
+        F.struct(F.concat(F.lit("DB"), key + 1).alias("drugbank-id"), F.col("p_name").alias("name")),
+        F.struct(F.concat(F.lit("DB"), key + 2).alias("drugbank-id"), F.col("p_name").alias("name")),
+    )
+    records = t.part.select(
+        F.array(F.struct(drug_id.alias("_VALUE"), F.lit("true").alias("_primary")), F.struct(F.lit("old").alias("_VALUE"), F.lit("false").alias("_primary"))).alias("drugbank-id"),
+        F.col("p_name").alias("name"),
+        F.struct(F.array(*[F.struct(c.alias("_VALUE"), F.lit("en").alias("_language")) for c in (brand, kind)]).alias("synonym")).alias("synonyms"),
+        F.when(size > 10, F.struct(interactions.alias("drug-interaction"))).alias("drug-interactions"),
+        F.struct(F.array(target(1, F.lit("Humans")), target(2, organism)).alias("target")).alias("targets"),
+    )
+    return read_xml(t.spark, xml_file(t, records, "drugs", "drugbank", "drug"), catalog.DRUG_XML_ROW, catalog.DRUG_XML_SCHEMA)
+
+
+@register("select distinct 'DB' || p_partkey as drug_id, p_name as drug_name, unnest([p_brand, p_type]) as synonym__value from part")
+def nested_flatten(t: Tables) -> DataFrame:
+    found = textjobs.flatten_children(drug_records(t), DRUG_KEYS, *catalog.DRUG_SYNONYMS)
+    return found.withColumnRenamed("synonym__VALUE", "synonym__value")
+
+
+@register(
+    "select distinct 'DB' || p_partkey as drug_id, p_name as drug_name, 'DB' || (p_partkey + n) as drug_interaction_drugbank_id, "
+    "p_name as drug_interaction_name from part, (select unnest([1, 2]) as n) k where p_size > 10"
+)
+def nested_flatten_optional(t: Tables) -> DataFrame:
+    """Records without children are dropped."""
+    return textjobs.flatten_children(drug_records(t), DRUG_KEYS, *catalog.DRUG_INTERACTIONS)
+
+
+@register(
+    "select 'DB' || p_partkey as drug_id, p_name as drug_name, 'BE' || n || '-' || p_partkey as target_id, "
+    "'t' || n || ' ' || p_type as target_name, 'P' || p_partkey as peptide, p_brand as gene, syn, res, substr(res, 1, 1) || p_partkey as ref "
+    "from part, (select unnest([1, 2]) as n) k, (select unnest([1, 2]) as s) ss, (select unnest(['HGNC', 'GB']) as res) r, "
+    "lateral (select case s when 1 then p_type else p_brand end as syn) y where n = 1 or p_size > 25"
+)
+def nested_polypeptides(t: Tables) -> DataFrame:
+    """Three nested levels; components of other organisms are dropped."""
+    found = textjobs.flatten_polypeptides(drug_records(t), DRUG_KEYS, catalog.DRUG_TARGETS)
+    p = "target_polypeptide"
+    return found.select(
+        "drug_id", "drug_name", "target_id", "target_name", F.col(f"{p}_id").alias("peptide"), F.col(f"{p}_gene_name").alias("gene"),
+        F.col(f"{p}_synonym").alias("syn"), F.col(f"{p}_ext_id_res").alias("res"), F.col(f"{p}_ext_id_ref").alias("ref"),
+    )
+
+
+# --- streaming ------------------------------------------------------------------------------------
+
+
+@register("select md5(text) as pmid, min(doc_id) as doc_id from documents group by all")
+def stream_intake(t: Tables) -> DataFrame:
+    """The documents file as a stream, appended to an empty corpus once per distinct text."""
+    schema = t.documents.schema
+    stream = table_stream(t.spark, t.folder, schema, "documents.parquet").select(F.md5("text").alias("pmid"), "doc_id")
+    corpus = new_path(t.spark, "corpus")
+    query = start_intake(stream, corpus, new_path(t.spark, "intake-checkpoint"))
+    query.awaitTermination()
+    return read_table(t.spark, corpus)

@@ -32,7 +32,7 @@ def grams_sql(name: str, table: str, key: str) -> str:
 
 ANNOTATE_CTES = (
     f"{grams_sql('bg', 'benchmark', 'item_id')}, {grams_sql('dg', 'documents', 'doc_id')}, "
-    "dict as (select spot, min(pmid) as wiki_id, upper(spot) as title, "
+    "dict as (select spot, min(pmid) as wiki_id, spot || '.' as title, "
     "cast(count(distinct pmid) as double) / cast(count(*) as double) as lp from bg where words <= 2 group by spot), "
     "f as (select dg.pmid, dg.start, dg.words, dg.spot, wiki_id, title, lp from dg join dict using (spot)), "
     "a as materialized (select pmid, start, max(words) as words from f group by all), "
@@ -49,7 +49,7 @@ def dictionary(t: Tables) -> DataFrame:
         F.min("pmid").alias("wiki_id"),
         (F.count_distinct("pmid").cast("double") / F.count(F.lit(1)).cast("double")).alias("link_probability"),
     ).select(
-        "spot", "wiki_id", F.upper("spot").alias("title"), "link_probability", F.lit(1.0).alias("commonness"),
+        "spot", "wiki_id", F.concat("spot", F.lit(".")).alias("title"), "link_probability", F.lit(1.0).alias("commonness"),
         F.array(F.col("spot")).alias("categories"),
     )
 

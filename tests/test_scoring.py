@@ -1,0 +1,154 @@
+import math
+import random
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import pytest
+from pyspark.sql import functions as F
+
+from netloom.operators import incremental, scoring
+
+
+def graph(spark, pairs, weight="mentions", block=4096):
+    annotations = spark.createDataFrame(pairs, "pmid bigint, wiki_id bigint")
+    counts = scoring.stored_counts(annotations, weight)
+    profiles = scoring.stored_profiles(counts)
+    return counts, profiles, scoring.stored_pairs(profiles, block)
+
+
+def brute_projection(pairs, alpha=0.5):
+    mentions = Counter(pairs)
+    docs, ents = defaultdict(set), defaultdict(set)
+    for d, e in mentions:
+        docs[d].add(e)
+        ents[e].add(d)
+    s = defaultdict(float)
+    for (d, i), m in mentions.items():
+        for j in docs[d]:
+            s[i, j] += m * mentions[d, j] / len(docs[d])
+    w = {(i, j): v * (1 / len(ents[i])) ** alpha * (1 / len(ents[j])) ** (1 - alpha) for (i, j), v in s.items()}
+    top = defaultdict(float)
+    for (i, _), v in w.items():
+        top[i] = max(top[i], v)
+    return {(i, j): v / top[i] for (i, j), v in w.items() if i != j}
+
+
+def random_pairs(seed, docs=40, ents=25):
+    rng = random.Random(seed)
+    return [(d, rng.randrange(ents)) for d in range(docs) for _ in range(rng.randrange(1, 9))]
+
+
+def test_hand_computed_projection(spark):
+    counts, profiles, pairs = graph(spark, [(1, 10), (1, 20), (2, 10), (2, 20), (2, 30)])
+    got = {(r.wid1, r.wid2): r.w_norm for r in scoring.dt_hybrid(profiles, pairs).collect()}
+    assert got[10, 20] == pytest.approx(1.0)
+    assert got[10, 30] == pytest.approx(0.565685, abs=1e-6)
+    assert got[30, 10] == pytest.approx(0.707107, abs=1e-6)
+    assert got[30, 20] == pytest.approx(0.707107, abs=1e-6)
+    assert (10, 10) not in got and len(got) == 6
+
+
+@pytest.mark.parametrize("block", [2, 3, 4096])
+@pytest.mark.parametrize("alpha", [0.5, 0.2])
+def test_projection_equals_brute_force(spark, block, alpha):
+    """Small blocks cut every document into cells; repeated mentions and copies are included."""
+    base = random_pairs(block)
+    copies = [(d + 1000 * k, e) for k in range(1, 4) for d, e in base if d < 5]
+    _, profiles, pairs = graph(spark, base + copies, block=block)
+    want = brute_projection(base + copies, alpha)
+    got = {(r.wid1, r.wid2): r.w_norm for r in scoring.dt_hybrid(profiles, pairs, alpha).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_mentions_and_distinct_differ(spark):
+    repeated = [(1, 1), (1, 1), (1, 2), (2, 2), (2, 3)]
+    found = {}
+    for weight in ("mentions", "distinct"):
+        _, _, pairs = graph(spark, repeated, weight)
+        found[weight] = {(r.wid1, r.wid2): (r.shared, r.freq) for r in pairs.collect()}
+    assert found["mentions"][1, 2] == (1.0, 1)
+    assert found["distinct"][1, 2] == (0.5, 1)
+    with pytest.raises(ValueError):
+        scoring.mention_counts(spark.range(1).selectExpr("id as pmid", "id as wiki_id"), "other")
+
+
+def test_copies_are_paired_once(spark):
+    """A group of equal documents makes one profile and counts in full."""
+    _, profiles, pairs = graph(spark, [(d, e) for d in range(500) for e in (1, 2, 3)] + [(900, 1), (900, 2)])
+    assert profiles.count() == 5
+    assert {(r.wid1, r.wid2): r.freq for r in pairs.collect()} == {(1, 2): 501, (1, 3): 500, (2, 3): 500}
+
+
+def test_frequency_and_evidence_equal_brute_force(spark):
+    data = random_pairs(5, docs=80, ents=8) + [(d, e) for d in range(200, 230) for e in (1, 2)]
+    counts, profiles, pairs = graph(spark, data, "distinct", block=2)
+    docs = defaultdict(set)
+    for d, e in data:
+        docs[d].add(e)
+    support = defaultdict(set)
+    for d, es in docs.items():
+        for i, j in combinations(sorted(es), 2):
+            support[i, j].add(d)
+    assert {(r.wid1, r.wid2): r.freq for r in scoring.pair_freq(pairs).collect()} == {k: len(v) for k, v in support.items()}
+    found = defaultdict(set)
+    for r in scoring.pair_evidence(counts, 10, block=2).collect():
+        found[r.wid1, r.wid2].add(r.pmid)
+    assert found == {k: set(sorted(v)[-10:]) for k, v in support.items()}
+
+
+def test_frequency_is_at_most_the_smaller_degree(spark):
+    _, _, pairs = graph(spark, random_pairs(3))
+    assert pairs.where("freq > least(docs1, docs2)").isEmpty()
+
+
+def test_relatedness_formula_and_range(spark):
+    data = random_pairs(7)
+    counts, _, pairs = graph(spark, data)
+    n = len({d for d, _ in data})
+    got = scoring.relatedness(pairs, scoring.corpus_size(counts)).join(pairs, ["wid1", "wid2"]).collect()
+    for r in got:
+        big, small = max(r.docs1, r.docs2), min(r.docs1, r.docs2)
+        want = 1.0 if small == n else max(0.0, 1 - (math.log(big) - math.log(r.freq)) / (math.log(n) - math.log(small)))
+        assert r.relatedness == pytest.approx(want) and 0 <= r.relatedness <= 1
+
+
+def test_relatedness_of_entities_in_every_document(spark):
+    counts, _, pairs = graph(spark, [(1, 1), (1, 2), (2, 1), (2, 2)])
+    assert [r.relatedness for r in scoring.relatedness(pairs, scoring.corpus_size(counts)).collect()] == [1.0]
+
+
+def test_both_forms_of_the_prediction_agree(spark, rows):
+    data = random_pairs(11, docs=120, ents=30)
+    counts, profiles, pairs = graph(spark, data)
+    n_docs = scoring.corpus_size(counts)
+    joined = scoring.predict(
+        scoring.dt_hybrid(profiles, pairs), scoring.relatedness(pairs, n_docs), scoring.pair_freq(pairs), 4
+    )
+    direct = scoring.predict_from_pairs(profiles, pairs, n_docs, n=4)
+    rounded = F.round("score", 9)
+    assert rows(joined, "wid1", "wid2", rounded) == rows(direct, "wid1", "wid2", rounded)
+    assert joined.groupBy("wid1").count().where("count > 4").isEmpty()
+
+
+def test_top_n_is_cut_before_the_shuffle(spark):
+    _, profiles, pairs = graph(spark, random_pairs(1))
+    plan = scoring.predict_from_pairs(profiles, pairs, F.lit(40), n=5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_increment_equals_recomputation(spark, rows):
+    data = random_pairs(13, docs=60, ents=10)
+    parts = [[p for p in data if p[0] < 30], [p for p in data if p[0] >= 30]]
+    full = graph(spark, data, "distinct")
+    old, new = (graph(spark, p, "distinct") for p in parts)
+    merged = incremental.add_pair_counts(scoring.pair_freq(old[2]), scoring.pair_freq(new[2]))
+    assert rows(merged) == rows(scoring.pair_freq(full[2]))
+    evidence = incremental.add_evidence(scoring.pair_evidence(old[0], 3), scoring.pair_evidence(new[0], 3), 3)
+    assert rows(evidence) == rows(scoring.pair_evidence(full[0], 3))
+
+
+def test_unscored_pairs(spark, rows):
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "wid1 bigint, wid2 bigint")
+    scored = spark.createDataFrame([(1, 2, 0.5)], "wid1 bigint, wid2 bigint, relatedness double")
+    assert rows(scoring.unscored_pairs(pairs, scored)) == [(1, 3)]
