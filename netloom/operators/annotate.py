@@ -28,12 +28,23 @@ def tokens(text: Column) -> Column:
 
 def ngrams(docs: DataFrame, max_words: int = 3, key: str = "pmid", text: str = "text") -> DataFrame:
     """(key, start, words, spot): every run of 1 to ``max_words`` tokens."""
-    words = docs.select(key, tokens(F.col(text)).alias("_t")).select(
-        key, "_t", F.posexplode("_t").alias("start", "_w")
-    )
-    sizes = F.sequence(F.lit(1), F.least(F.lit(max_words), F.size("_t") - F.col("start")))
-    return words.select(key, "start", "_t", F.explode(sizes).alias("words")).select(
-        key, "start", "words", F.array_join(F.slice("_t", F.col("start") + 1, F.col("words")), " ").alias("spot")
+    # The runs are built inside the row and exploded once, so no row carries the whole text along.
+    size = F.size("_t")
+
+    def runs(start):
+        sizes = F.sequence(F.lit(1), F.least(F.lit(max_words), size - start))
+        return F.transform(
+            sizes,
+            lambda n: F.struct(
+                start.alias("start"), n.alias("words"), F.array_join(F.slice("_t", start + 1, n), " ").alias("spot")
+            ),
+        )
+
+    starts = F.sequence(F.lit(0), size - 1)
+    return (
+        docs.select(key, tokens(F.col(text)).alias("_t"))
+        .where(size > 0)
+        .select(key, F.inline(F.flatten(F.transform(starts, runs))))
     )
 
 
@@ -46,13 +57,17 @@ def best_senses(dictionary: DataFrame) -> DataFrame:
     return best.select("spot", "_s.*")
 
 
-def longest_matches(matches: DataFrame, key: str = "pmid", max_words: int = 3) -> DataFrame:
+def longest_matches(matches: DataFrame, key: str = "pmid", max_words: int = 3, block: int = 4096) -> DataFrame:
     """Drop a match that overlaps a longer one, or one of equal length that starts earlier.
 
-    A match can only overlap those starting fewer than ``max_words`` tokens away, so the window looks at a
-    bounded range of positions.
+    A match can only overlap those starting fewer than ``max_words`` tokens away. Documents are cut into blocks of
+    token positions, matches next to a border are copied to the neighbouring block, and each block looks at a bounded range,
+    so a long document is not one group.
     """
-    near = Window.partitionBy(key).orderBy("start").rangeBetween(-(max_words - 1), max_words - 1)
+    reach = max_words - 1
+    own = F.floor(F.col("start") / F.lit(block))
+    near_blocks = F.sequence(F.floor((F.col("start") - reach) / block), F.floor((F.col("start") + reach) / block))
+    near = Window.partitionBy(key, "_block").orderBy("start").rangeBetween(-reach, reach)
     around = F.collect_list(F.struct("start", "words")).over(near)
     beaten = F.exists(
         "_near",
@@ -60,7 +75,12 @@ def longest_matches(matches: DataFrame, key: str = "pmid", max_words: int = 3) -
         & (F.col("start") < o["start"] + o["words"])
         & ((o["words"] > F.col("words")) | ((o["words"] == F.col("words")) & (o["start"] < F.col("start")))),
     )
-    return matches.withColumn("_near", around).where(~beaten).drop("_near")
+    return (
+        matches.withColumn("_block", F.explode(near_blocks))
+        .withColumn("_near", around)
+        .where((F.col("_block") == own) & ~beaten)
+        .drop("_near", "_block")
+    )
 
 
 def annotate(

@@ -143,14 +143,13 @@ def cross_reference_pairs(
 ) -> DataFrame:
     """(left_id, right_id): pairs asserted by either source, plus the ids neither source pairs."""
     key = ["left_id", "right_id"]
-    asserted = left_refs.select(*key).join(right_refs.select(*key), key, "full").distinct()
-    return (
-        left_ids.select("left_id").distinct()
-        .join(asserted, "left_id", "full")
-        .join(right_ids.select("right_id").distinct(), "right_id", "full")
-        .select(*key)
-        .distinct()
-    )
+    asserted = left_refs.select(*key).unionByName(right_refs.select(*key)).distinct()
+    alone = [
+        ids.select(own).distinct().join(asserted.select(own).distinct(), own, "left_anti")
+        for ids, own in ((left_ids, "left_id"), (right_ids, "right_id"))
+    ]
+    # The same rows as two full joins, but an id with very many references is never joined on its pairs.
+    return union_all([asserted, *alone], allow_missing=True).select(*key)
 
 
 def build_index_by_xref(

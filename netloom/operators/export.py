@@ -22,13 +22,15 @@ def merge_nodes(node_tables: Sequence[DataFrame]) -> DataFrame:
 
 
 def node_entities(node_tables: Sequence[DataFrame], matches: DataFrame) -> DataFrame:
-    """(id, wiki_id): the matched entities of each node; null for a node without a match."""
+    """(id, wiki_id): the matched entities of each node; null for a node without a match.
+
+    Nodes without a match are found by an anti-join on distinct nodes, so a node with very many matches stays spread.
+    """
     nodes = union_distinct([t.select(*NODE_KEY) for t in node_tables])
-    return (
-        nodes.join(matches.select(*NODE_KEY, "wiki_id"), NODE_KEY, "left")
-        .select(F.col("IDX").alias("id"), "wiki_id")
-        .distinct()
-    )
+    matched = matches.select(*NODE_KEY, "wiki_id").join(nodes, NODE_KEY, "left_semi")
+    alone = nodes.join(matches.select(*NODE_KEY).distinct(), NODE_KEY, "left_anti")
+    rows = union_all([matched, alone], allow_missing=True)
+    return rows.select(F.col("IDX").alias("id"), "wiki_id").distinct()
 
 
 def merge_edges(predicted: DataFrame, interactions: DataFrame, literature: DataFrame) -> DataFrame:

@@ -42,7 +42,8 @@ def new_rows(new: DataFrame, old: DataFrame, keys: Sequence[str], new_is_small:
     seen = old.select(*keys)
     if new_is_small:
         seen = seen.join(new.select(*keys).distinct(), keys, "left_semi")
-    return new.join(seen, keys, "left_anti")
+    # Distinct keys: a key that fills the history is one row here. The join reuses this partitioning.
+    return new.join(seen.distinct(), keys, "left_anti")
 
 
 def unpivot_references(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from netloom.operators.entity_index import EntityIndex, build_index, build_index_by_xref
 from netloom.operators.networks import match_proteins, without_taxon
-from netloom.operators.relations import consolidate, same_type_relations, typed_relations
+from netloom.operators.relations import Far, consolidate, same_type_relations, typed_relations
 from netloom.plans import databases
 from netloom.queries.registry import Registry, Tables
 from netloom.queries.sqltext import LONG_INDEX, index_ctes, same_type_relation, typed_relation, with_ctes
@@ -187,7 +187,7 @@ def typed_relations_by_name_and_reference(t: Tables) -> DataFrame:
         "l_suppkey", "p_name", F.col("l_partkey").alias("part_key")
     )
     return lower_columns(
-        typed_relations(rows, "l_suppkey", supplier_index(t), "supplier-part", name_col="p_name", ref_col="part_key")
+        typed_relations(rows, "l_suppkey", supplier_index(t), [Far("supplier-part", name="p_name", ref="part_key")])
     )
 
 

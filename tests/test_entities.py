@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from netloom.operators import entity_index
 from netloom.operators.entity_index import EntityIndex, build_index, build_index_by_xref
-from netloom.operators.relations import consolidate, reference_rows, same_type_relations, typed_relations
+from netloom.operators.relations import Far, consolidate, reference_rows, same_type_relations, typed_relations
 from netloom.plans import databases
 
 
@@ -127,9 +127,9 @@ def test_typed_relations(spark, rows):
         [("1", "far", "r1"), ("1", None, "r2"), ("1", "far", None), ("9", "far", "r")], "id string, far string, DB_ref string"
     )
     cols = ["NAME1", "NAME2", "IDX2", "REFERENCE", "TYPE"]
-    assert rows(typed_relations(df, "id", index, "t-u", "far", "DB_ref"), *cols) == [("n", "far", "", "DB:r1", "t-u")]
-    assert rows(typed_relations(df, "id", index, "t-u", "far"), *cols) == [("n", "far", "", "", "t-u")]
-    assert rows(typed_relations(df, "id", index, "t-u", ref_col="DB_ref", ref_prefix="X"), *cols) == [
+    assert rows(typed_relations(df, "id", index, [Far("t-u", "far", "DB_ref")]), *cols) == [("n", "far", "", "DB:r1", "t-u")]
+    assert rows(typed_relations(df, "id", index, [Far("t-u", "far")]), *cols) == [("n", "far", "", "", "t-u")]
+    assert rows(typed_relations(df, "id", index, [Far("t-u", ref="DB_ref", prefix="X")]), *cols) == [
         ("n", "", "", "X:r1", "t-u"), ("n", "", "", "X:r2", "t-u"),
     ]
 

@@ -1,7 +1,10 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from netloom.operators import export, networks
-from netloom.operators.annotate import annotate, document_text, filter_categories
+from netloom.operators.annotate import annotate, document_text, filter_categories, longest_matches
 
 RELATION = "NAME1 string, IDX1 string, NAME2 string, IDX2 string, REFERENCE string, TYPE string"
 ALIAS = "IDX string, NAME string, TYPE string, alias string"
@@ -103,6 +106,22 @@ def test_longest_spot_wins(spark, rows):
     assert rows(annotate(docs, dictionary(spark), 3, epsilon=0.2), "wiki_id") == [(2,), (3,)]
 
 
+@pytest.mark.parametrize("block", [1, 2, 5, 4096])
+def test_blocks_do_not_change_the_matches(spark, rows, block):
+    """Matches of a document, resolved in blocks of any size and by hand."""
+    rng = random.Random(4)
+    matches = {s: rng.randrange(1, 4) for s in rng.sample(range(60), 40)}
+
+    def beaten(s, n):
+        return any(
+            t < s + n and s < t + m and (m > n or (m == n and t < s)) for t, m in matches.items()
+        )
+
+    df = spark.createDataFrame([(1, s, n) for s, n in matches.items()], "pmid int, start int, words int")
+    want = sorted(((1, s, n) for s, n in matches.items() if not beaten(s, n)), key=repr)
+    assert rows(longest_matches(df, max_words=3, block=block), "pmid", "start", "words") == want
+
+
 def test_coherence_raises_the_score(spark):
     docs = spark.createDataFrame([(1, "gene and therapy and gene therapy")], "pmid int, text string")
     related = spark.createDataFrame([(1, 2, 0.6), (2, 3, 0.2)], "wid1 int, wid2 int, relatedness double")
