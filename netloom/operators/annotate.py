@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from netloom.operators.joins import join_dimension
 from netloom.operators.scoring import entity_degrees, mention_counts, profile_pairs
 from netloom.operators.setops import symmetrize
+from netloom.session import fill_cores
 
 WORD = r"[\p{L}\p{N}]+"
 
@@ -28,24 +29,21 @@ def tokens(text: Column) -> Column:
 
 def ngrams(docs: DataFrame, max_words: int = 3, key: str = "pmid", text: str = "text") -> DataFrame:
     """(key, start, words, spot): every run of 1 to ``max_words`` tokens."""
-    # The runs are built inside the row and exploded once, so no row carries the whole text along.
-    size = F.size("_t")
-
-    def runs(start):
-        sizes = F.sequence(F.lit(1), F.least(F.lit(max_words), size - start))
+    # Each length is built from the one before by pairing neighbours, and all are exploded once: no row carries
+    # the whole text along.
+    runs = docs.select(key, tokens(F.col(text)).alias("_n1"))
+    for n in range(2, max_words + 1):
+        shorter = F.col(f"_n{n - 1}")
+        first = F.slice(shorter, 1, F.greatest(F.size(shorter) - 1, F.lit(0)))
+        rest = F.slice("_n1", n, F.size("_n1"))
+        runs = runs.withColumn(f"_n{n}", F.zip_with(first, rest, lambda a, b: F.concat(a, F.lit(" "), b)))
+
+    def numbered(n: int):
         return F.transform(
-            sizes,
-            lambda n: F.struct(
-                start.alias("start"), n.alias("words"), F.array_join(F.slice("_t", start + 1, n), " ").alias("spot")
-            ),
+            f"_n{n}", lambda w, i: F.struct(i.alias("start"), F.lit(n).alias("words"), w.alias("spot"))
         )
 
-    starts = F.sequence(F.lit(0), size - 1)
-    return (
-        docs.select(key, tokens(F.col(text)).alias("_t"))
-        .where(size > 0)
-        .select(key, F.inline(F.flatten(F.transform(starts, runs))))
-    )
+    return runs.select(key, F.inline(F.concat(*[numbered(n) for n in range(1, max_words + 1)])))
 
 
 def best_senses(dictionary: DataFrame) -> DataFrame:
@@ -96,7 +94,7 @@ def annotate(
     tokens. With ``related`` (wid1, wid2, relatedness) rho is the mean of link probability and coherence;
     without it the coherence is 0. Rows without a title or with rho below ``epsilon`` are dropped.
     """
-    grams = ngrams(docs, max_words)
+    grams = ngrams(fill_cores(docs, "pmid"), max_words)
     found = join_dimension(grams, best_senses(dictionary), ["spot"])
     kept = longest_matches(found, max_words=max_words)
     if related is None:
