@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from netloom.operators.joins import join_dimension
 from netloom.operators.scoring import entity_degrees, mention_counts, profile_pairs
 from netloom.operators.setops import symmetrize
-from netloom.session import fill_cores
+from netloom.session import fill_cores, materialize
 
 WORD = r"[\p{L}\p{N}]+"
 
@@ -101,6 +101,7 @@ def annotate(
         rho = F.col("link_probability") / 2
         scored = kept
     else:
+        kept = materialize(kept, "matches")
         scored = kept.join(coherence(kept, related), ["pmid", "wiki_id"], "left")
         rho = (F.col("link_probability") + F.coalesce("coherence", F.lit(0.0))) / 2
     return (

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from netloom.operators import textjobs
 from netloom.queries.entities import text
 from netloom.queries.registry import Registry, Tables
-from netloom.session import new_path
+from netloom.session import delete_at_exit, new_path
 from netloom.sources import catalog
 from netloom.sources.spec import (
     SourceSpec, fields, read_csv, read_json, read_lines, read_positional, read_source, read_stanzas, read_table,
@@ -22,13 +22,13 @@ register = QUERIES.register
 def put_delimited(t: Tables, df: DataFrame, label: str, sep: str, header: bool = True) -> str:
     path = new_path(t.spark, label)
     df.write.option("sep", sep).option("header", header).csv(path)
-    return path
+    return delete_at_exit(t.spark, path)
 
 
 def put_text(t: Tables, values: DataFrame, label: str) -> str:
     path = new_path(t.spark, label)
     values.write.text(path)
-    return path
+    return delete_at_exit(t.spark, path)
 
 
 # --- delimited, JSON, parquet ---------------------------------------------------------------------
@@ -212,7 +212,7 @@ def enzyme_stanzas(t: Tables) -> DataFrame:
 def xml_file(t: Tables, df: DataFrame, label: str, root: str, row: str) -> str:
     path = new_path(t.spark, label)
     df.write.format("xml").option("rootTag", root).option("rowTag", row).save(path)
-    return path
+    return delete_at_exit(t.spark, path)
 
 
 @register(
@@ -316,4 +316,4 @@ def stream_intake(t: Tables) -> DataFrame:
     corpus = new_path(t.spark, "corpus")
     query = start_intake(stream, corpus, new_path(t.spark, "intake-checkpoint"))
     query.awaitTermination()
-    return read_table(t.spark, corpus)
+    return read_table(t.spark, delete_at_exit(t.spark, corpus))

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from netloom.functions import text as fn
 from netloom.functions.parsing import attribute
-from netloom.operators import textjobs
+from netloom.operators import scoring, textjobs
 from netloom.operators.annotate import annotate, document_text, filter_categories, ngrams, tokens
 from netloom.queries.entities import text
 from netloom.queries.registry import Registry, Tables
+from netloom.queries.sqltext import pair_ctes
 from netloom.session import materialize
 
 QUERIES = Registry()
@@ -70,6 +71,29 @@ def annotate_dictionary(t: Tables) -> DataFrame:
     )
 
 
+@register(
+    f"with {ANNOTATE_CTES}, k as materialized (select f.pmid, f.start, f.spot, wiki_id, lp from kept join f using (pmid, start, words)), "
+    f"{pair_ctes('select pmid, wiki_id as wid from k', 'distinct')}, "
+    "two as (select wid1, wid2, relatedness as r from rel union all select wid2, wid1, relatedness from rel), "
+    "deg as (select pmid, count(*) as n from d group by all), "
+    "coh as (select a.pmid, a.wid, sum(two.r) / (max(deg.n) - 1) as c from d a join d b on a.pmid = b.pmid and a.wid <> b.wid "
+    "join two on two.wid1 = a.wid and two.wid2 = b.wid join deg on deg.pmid = a.pmid group by all) "
+    "select k.pmid, cast(k.start as bigint) as start, spot, wiki_id, round((lp + coalesce(c, 0.0e0)) / 2 + 1e-12, 6) as rho "
+    "from k left join coh on coh.pmid = k.pmid and coh.wid = k.wiki_id"
+)
+def annotate_coherence(t: Tables) -> DataFrame:
+    """Annotations scored with the relatedness that the annotations themselves give."""
+    docs = t.documents.select(F.col("doc_id").alias("pmid"), "text")
+    words = materialize(dictionary(t), "dictionary")
+    counts = scoring.stored_counts(annotate(docs, words), "distinct")
+    pairs = scoring.stored_pairs(scoring.stored_profiles(counts))
+    related = scoring.relatedness(pairs, scoring.corpus_size(counts))
+    found = annotate(docs, words, related=related)
+    return found.select(
+        "pmid", F.col("start").cast("bigint").alias("start"), "spot", "wiki_id", F.round(F.col("rho") + F.lit(1e-12), 6).alias("rho")
+    )
+
+
 @register(
     "with d as (select doc_id, string_split(text, chr(10)) as l from documents) "
     "select doc_id, md5(case when len(l) > 1 then l[1] || chr(10) || array_to_string(l[2:], chr(10)) end) as digest from d"

@@ -60,6 +60,14 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/netloom/{label}-{uuid.uuid4().hex}"
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> str:
+    """Delete an existing intermediate folder when the application ends."""
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return path
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -68,6 +76,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = new_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
+    delete_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
