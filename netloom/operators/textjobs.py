@@ -21,6 +21,8 @@ DDL_TYPES = {
     "double": "double",
     "decimal": "double",
 }
+# Fixed value: the most columns a table of the dump format can have.
+MAX_DUMP_COLUMNS = 4096
 
 
 # --- SQL dump ---------------------------------------------------------------------------------
@@ -54,7 +56,7 @@ def dump_columns(lines: DataFrame) -> DataFrame:
 
 def dump_schema(lines: DataFrame) -> list[tuple[str, str]]:
     """(name, type) of the table in a one-table dump, in order: the few DDL rows, read by the driver."""
-    rows = dump_columns(lines).orderBy("file", "block", "line_no").select("name", "type").limit(1000).collect()
+    rows = dump_columns(lines).orderBy("file", "block", "line_no").select("name", "type").limit(MAX_DUMP_COLUMNS).collect()
     return [(r["name"], r["type"]) for r in rows]
 
 
