@@ -187,7 +187,7 @@ def typed_relations_by_name_and_reference(t: Tables) -> DataFrame:
         "l_suppkey", "p_name", F.col("l_partkey").alias("part_key")
     )
     return lower_columns(
-        typed_relations(rows, "l_suppkey", supplier_index(t), [Far("supplier-part", name="p_name", ref="part_key")])
+        typed_relations(rows, "l_suppkey", supplier_index(t), [Far("supplier-part", name="p_name", ref="part_key")]).distinct()
     )
 
 
@@ -214,7 +214,7 @@ def same_type_relations_both_ends(t: Tables) -> DataFrame:
     source = t.part.select(
         F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_brand", "p_name").alias("name"), F.col("p_type").alias("other_name")
     )
-    return lower_columns(same_type_relations(build_index("PART", [source]), part_edges(t), "part"))
+    return lower_columns(same_type_relations(build_index("PART", [source]), part_edges(t), "part").distinct())
 
 
 @register(

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from netloom.operators import textjobs
 from netloom.sources import catalog
