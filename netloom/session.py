@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,18 +40,17 @@ def build_session(app: str = "netloom", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
+    """Folder every executor can reach: the session's ``spark.checkpoint.dir``, or else a folder below its warehouse.
 
-    Only a local-mode session without that setting falls back to a temporary folder of this machine.
+    Both are places that the session's owner has named as shared, so no machine-local folder is ever used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if spark.conf.get("spark.master", "").startswith("local"):
-        folder = tempfile.mkdtemp(prefix="netloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{warehouse.rstrip('/')}/_stages"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -60,14 +58,25 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/netloom/{label}-{uuid.uuid4().hex}"
 
 
-def delete_at_exit(spark: SparkSession, path: str) -> str:
-    """Delete an existing intermediate folder when the application ends."""
+def _hadoop(spark: SparkSession, path: str):
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    return hadoop_path, hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> str:
+    """Delete an existing intermediate folder when the application ends."""
+    hadoop_path, system = _hadoop(spark, path)
+    system.deleteOnExit(hadoop_path)
     return path
 
 
+def delete_now(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder that nothing reads any more."""
+    hadoop_path, system = _hadoop(spark, path)
+    system.delete(hadoop_path, True)
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -80,6 +89,32 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Stages:
+    """Intermediate tables of one job, deleted one by one as soon as nothing reads them, or all at the end."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.label = label
+        self.paths: dict[str, str] = {}
+
+    def store(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` under ``name`` and read it back; an older table of that name is deleted afterwards."""
+        path = new_path(self.spark, f"{self.label}-{name}")
+        df.write.mode("errorifexists").parquet(path)
+        delete_at_exit(self.spark, path)
+        self.drop(name)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self.paths:
+                delete_now(self.spark, self.paths.pop(name))
+
+    def close(self) -> None:
+        self.drop(*list(self.paths))
+
+
 def fill_cores(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a table of few files over all cores, before work that is heavy per row.
 
