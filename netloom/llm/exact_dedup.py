@@ -142,19 +142,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    groups = exact_groups(docs, id_col, text_col)
-    kept = groups.where("kept").select(F.col(id_col).alias("_kept_id"), F.col("original_sha256").alias("_kept_sha"))
-    return keep_rows(docs, kept, id_col, text_col)
+    return keep_rows(docs, exact_groups(docs, id_col, text_col), id_col, text_col)
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows of ``docs`` named by (_kept_id, _kept_sha), one each: rows that agree in id and text are copies."""
-    sha = F.sha2(whole_text(docs, text_col), 256)
+def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` that ``decided`` (``id_col``, ``original_sha256``, ``kept``; one row per row of ``docs``) keeps.
+
+    Rows that agree in id and text can't be told apart; where there are any, one of those that agree is kept.
+    """
+    keys = decided.select(F.col(id_col).alias("_id"), F.col("original_sha256").alias("_sha"), "kept")
+    repeated = not keys.groupBy("_id", "_sha").count().where("count > 1").isEmpty()
     names = [f"c{n}" for n in range(len(docs.columns))]
     inner = docs.toDF(*names)
-    id_inner, text_inner = names[docs.columns.index(id_col)], names[docs.columns.index(text_col)]
-    sha = F.sha2(F.coalesce(F.col(text_inner).cast("string"), F.lit("")), 256)
-    found = inner.withColumn("_sha", sha).join(
+    id_inner, text_inner = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    kept = keys.where("kept").select(F.col("_id").alias("_kept_id"), F.col("_sha").alias("_kept_sha"))
+    found = inner.withColumn("_sha", F.sha2(F.coalesce(F.col(text_inner).cast("string"), F.lit("")), 256)).join(
         kept, F.col(id_inner).eqNullSafe(F.col("_kept_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi"
     )
-    return found.dropDuplicates([id_inner, "_sha"]).select(*names).toDF(*docs.columns)
+    if repeated:
+        found = found.dropDuplicates([id_inner, "_sha"])
+    return found.select(*names).toDF(*docs.columns)

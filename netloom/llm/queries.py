@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netloom.llm import exact_dedup, sharding
+from netloom.llm import exact_dedup, ngram_join, sharding
 from netloom.queries.registry import Registry
 
 QUERIES = Registry()
@@ -24,6 +24,11 @@ def op2_exact_dedup(t):
     return exact_dedup.exact_groups(t.documents).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@QUERIES.register()
+def op4_ngram_join(t):
+    return ngram_join.ngram_classes(t.documents, size=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 @QUERIES.register()
 def op5_shards(t):
     return sharding.shard_texts(t.documents, shards=16).select(
