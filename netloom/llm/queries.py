@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netloom.llm import exact_dedup, ngram_join, sharding
+from netloom.llm import exact_dedup, ngram_join, packing, sharding, token_counts, toxicity
 from netloom.queries.registry import Registry
 
 QUERIES = Registry()
@@ -35,3 +35,22 @@ def op5_shards(t):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@QUERIES.register()
+def op7_token_counts(t):
+    return token_counts.count_tokens(t.documents)
+
+
+@QUERIES.register()
+def op8_toxicity(t):
+    network = toxicity.learn(t.documents, t.labels)
+    return toxicity.score_texts(t.documents, network).select(
+        "doc_id", F.coalesce(~toxicity.training_side(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@QUERIES.register()
+def op10_packing(t):
+    return packing.pack_documents(t.documents, capacity=2048)
