@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 
 _U = np.uint64
-_SLICE = 1 << 20  # bytes hashed at a time
+_SLICE = 1 << 17  # bytes hashed at a time
 _LONG = 1 << 10  # longer words are hashed by a digest: sums of powers modulo 2 ** 64 mix too little there
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -18,20 +18,18 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _BASE = 0x9E3779B97F4A7C15
-_powers: list[np.ndarray] = []
 
 
 def _power_tables() -> list[np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2 ** 64."""
-    if not _powers:
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            table = np.empty(_SLICE + _LONG + 1, dtype=_U)
-            table[0] = 1
-            table[1:] = _U(base)
-            with np.errstate(over="ignore"):
-                np.multiply.accumulate(table, out=table)
-            _powers.append(table)
-    return _powers
+    tables = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        table = np.full(_SLICE + 1, base, dtype=_U)
+        table[0] = 1
+        with np.errstate(over="ignore"):
+            np.multiply.accumulate(table, out=table)
+        tables.append(table)
+    return tables
 
 
 def mix(x: np.ndarray) -> np.ndarray:
