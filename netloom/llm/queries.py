@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netloom.llm import chat_format, exact_dedup, ngram_join, packing, piece_codec, sharding, token_counts, toxicity
+from netloom.llm import chat_format, exact_dedup, fingerprints, ngram_join, packing, piece_codec, sharding, token_counts, toxicity
 from netloom.queries.registry import Registry
 
 QUERIES = Registry()
 
 
+@QUERIES.register()
+def op1_fingerprints(t):
+    return fingerprints.edit_report(t.documents)
+
+
 @QUERIES.register(
     r"""
     WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n_chars, row_number() OVER () AS place,
