@@ -106,6 +106,11 @@ class Stages:
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def folder(self, name: str) -> str:
+        """A fresh folder for files under ``name``, deleted like a table."""
+        path = self.paths[name] = new_path(self.spark, f"{self.label}-{name}")
+        return path
+
     def drop(self, *names: str) -> None:
         for name in names:
             if name in self.paths:
