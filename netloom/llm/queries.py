@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netloom.llm import chat_format, exact_dedup, fingerprints, ngram_join, packing, piece_codec, sharding, token_counts, toxicity
+from netloom.llm import chat_format, exact_dedup, fingerprints, ngram_join, packing, piece_codec, sharding, token_counts, toxicity, warc
 from netloom.queries.registry import Registry
 
 QUERIES = Registry()
@@ -49,6 +49,12 @@ def op5_shards(t):
     )
 
 
+@QUERIES.register()
+def op6_warc(t):
+    found = warc.archive_pages(t.pages, least_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @QUERIES.register()
 def op7_token_counts(t):
     return token_counts.count_tokens(t.documents)
