@@ -32,6 +32,11 @@ def text_blocks(text: Column, block: int) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
 
 
+def block_key(seed: int):
+    """Function from a block to its 128-bit sort key. It takes one argument: a second one would be given the block's place."""
+    return lambda b: F.struct(F.xxhash64(F.lit(seed), b).alias("k1"), F.xxhash64(b, F.lit(seed)).alias("k2"))
+
+
 def numbered(stages: Stages, name: str, keys: DataFrame, columns: list[str], leading: Column) -> DataFrame:
     """``keys`` (distinct) with their 1-based rank in the order of (range of ``leading``, columns) as ``name``.
 
@@ -78,9 +83,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cut = raw.select("id", "text", normal_form(F.col("text")).alias("norm"))
 
     for seed in count():
-        def key(b: Column, seed: int = seed) -> Column:
-            return F.struct(F.xxhash64(F.lit(seed), b).alias("k1"), F.xxhash64(b, F.lit(seed)).alias("k2"))
-
+        key = block_key(seed)
         base = stages.store(
             "base",
             cut.select(
