@@ -26,6 +26,6 @@ def tricky():
     return [
         (7, "the alpha of beta and gamma"), (3, "the  alpha of\tbeta and gamma"), (5, "the alpha of beta and gamma"),
         (5, "the alpha of beta and gamma"), (None, "the alpha of beta and gamma "), (9, None), (10, ""), (11, " \n\t\x0b\x0c\r"),
-        (12, " "), (13, long), (14, long + " tail"), (15, long.replace(" ", "")), (None, None), (16, "one"), (17, "One"),
+        (12, "\u00a0"), (13, long), (14, long + " tail"), (15, long.replace(" ", "")), (None, None), (16, "one"), (17, "One"),
         (18, "a b\U0001F600c"), (19, "!!! ???"), (20, "日本語テキスト"),
     ]
