@@ -2,17 +2,16 @@
 
 Spot matching follows the published method for tagging short text with encyclopedia entities (Ferragina and
 Scaiella 2010): find dictionary spots, keep the longest on overlap, score by link probability and by
-the coherence of an entity with the other entities of the document.
+the coherence of an entity with the other entities of the document. Entries may have any number of words.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from netloom.operators.joins import join_dimension
-from netloom.operators.scoring import entity_degrees, mention_counts, profile_pairs
+from netloom.operators.scoring import mention_counts
 from netloom.operators.setops import symmetrize
-from netloom.session import fill_cores, materialize
+from netloom.session import materialize
 
 WORD = r"[\p{L}\p{N}]+"
 
@@ -27,7 +26,7 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def ngrams(docs: DataFrame, max_words: int = 3, key: str = "pmid", text: str = "text") -> DataFrame:
+def ngrams(docs: DataFrame, max_words: int, key: str = "pmid", text: str = "text") -> DataFrame:
     """(key, start, words, spot): every run of 1 to ``max_words`` tokens."""
     # Each length is built from the one before by pairing neighbours, and all are exploded once: no row carries
     # the whole text along.
@@ -55,79 +54,99 @@ def best_senses(dictionary: DataFrame) -> DataFrame:
     return best.select("spot", "_s.*")
 
 
-def longest_matches(matches: DataFrame, key: str = "pmid", max_words: int = 3, block: int = 4096) -> DataFrame:
-    """Drop a match that overlaps a longer one, or one of equal length that starts earlier.
+def candidate_runs(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(pmid, start, words, spot): the runs of tokens that begin like an entry and are as long as one that begins so.
 
-    A match can only overlap those starting fewer than ``max_words`` tokens away. Documents are cut into blocks of
-    token positions, matches next to a border are copied to the neighbouring block, and each block looks at a bounded range,
-    so a long document is not one group.
+    The dictionary is reduced to its first words and the lengths that occur after each; only token positions with such a
+    word go on, with as many tokens behind them as the longest entry has.
     """
-    reach = max_words - 1
-    own = F.floor(F.col("start") / F.lit(block))
-    near_blocks = F.sequence(F.floor((F.col("start") - reach) / block), F.floor((F.col("start") + reach) / block))
-    near = Window.partitionBy(key, "_block").orderBy("start").rangeBetween(-reach, reach)
-    around = F.collect_list(F.struct("start", "words")).over(near)
-    beaten = F.exists(
-        "_near",
-        lambda o: (o["start"] < F.col("start") + F.col("words"))
-        & (F.col("start") < o["start"] + o["words"])
-        & ((o["words"] > F.col("words")) | ((o["words"] == F.col("words")) & (o["start"] < F.col("start")))),
+    spots = dictionary.select(F.split("spot", " ").alias("_w")).select(F.get("_w", F.lit(0)).alias("first"), F.size("_w").alias("words"))
+    heads = spots.groupBy("first").agg(F.collect_set("words").alias("lengths"))
+    longest = spots.agg(F.max("words")).first()[0] or 1
+    at = docs.select("pmid", tokens(F.col("text")).alias("_t")).select(
+        "pmid", F.posexplode(F.transform("_t", lambda w, i: F.slice("_t", i + 1, longest))).alias("start", "run")
     )
-    return (
-        matches.withColumn("_block", F.explode(near_blocks))
-        .withColumn("_near", around)
-        .where((F.col("_block") == own) & ~beaten)
-        .drop("_near", "_block")
+    found = at.withColumn("first", F.get("run", F.lit(0))).join(heads, "first")
+    return found.select("pmid", "start", "run", F.explode("lengths").alias("words")).where(
+        F.col("words") <= F.size("run")
+    ).select("pmid", "start", "words", F.array_join(F.slice("run", F.lit(1), F.col("words")), " ").alias("spot"))
+
+
+def longest_matches(matches: DataFrame, key: str = "pmid") -> DataFrame:
+    """Distinct (key, start, words) of the matches that stay: the longest first, the earlier of equal length, and
+    each only if it overlaps none that stays already.
+
+    Documents are cut where no match spans, and each stretch of overlapping matches is settled by itself.
+    """
+    before = Window.partitionBy(key).orderBy("start", "words").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = Window.partitionBy(key).orderBy("start", "words").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = F.max(F.col("start") + F.col("words")).over(before)
+    stretches = (
+        matches.select(key, "start", "words").distinct()
+        .withColumn("_opens", F.coalesce(F.col("start") >= reached, F.lit(True)).cast("int"))
+        .withColumn("_stretch", F.sum("_opens").over(up_to))
+    )
+    order = F.struct((-F.col("words")).alias("shorter"), "start", "words")
+
+    def settle(kept: Column, m: Column) -> Column:
+        clash = F.exists(kept, lambda k: (k["start"] < m["start"] + m["words"]) & (m["start"] < k["start"] + k["words"]))
+        return F.when(clash, kept).otherwise(F.concat(kept, F.array(m)))
+
+    ordered = F.sort_array(F.collect_list(order))
+    chosen = F.aggregate(ordered, F.slice(ordered, 1, 0), settle)
+    return stretches.groupBy(key, "_stretch").agg(chosen.alias("_kept")).select(key, F.explode("_kept").alias("_m")).select(
+        key, "_m.start", "_m.words"
     )
 
 
 def annotate(
-    docs: DataFrame,
-    dictionary: DataFrame,
-    max_words: int = 3,
-    epsilon: float = 0.0,
-    related: DataFrame | None = None,
+    docs: DataFrame, dictionary: DataFrame, epsilon: float = 0.0, related: DataFrame | None = None
 ) -> DataFrame:
     """(pmid, start, end, spot, wiki_id, title, link_probability, rho, categories) for ``docs`` (pmid, text).
 
     ``dictionary`` has spot, wiki_id, title, link_probability, commonness, categories. ``start`` and ``end`` count
-    tokens. With ``related`` (wid1, wid2, relatedness) rho is the mean of link probability and coherence;
-    without it the coherence is 0. Rows without a title or with rho below ``epsilon`` are dropped.
+    tokens. With ``related`` (wid1, wid2, relatedness) rho is the mean of link probability and coherence: a spot takes the
+    sense that has the highest rho among all senses of the document, and is scored among the senses taken. Without it
+    the coherence is 0 and a spot takes its most common sense. Ties go to the more common sense, then to the smaller wiki_id. Rows without a title or with rho below ``epsilon`` are dropped.
     """
-    grams = ngrams(fill_cores(docs, "pmid"), max_words)
-    found = join_dimension(grams, best_senses(dictionary), ["spot"])
-    kept = longest_matches(found, max_words=max_words)
+    senses = dictionary if related is not None else best_senses(dictionary)
+    found = candidate_runs(docs, dictionary).join(senses, "spot")
     if related is None:
-        rho = F.col("link_probability") / 2
-        scored = kept
+        scored = found.join(longest_matches(found), ["pmid", "start", "words"], "left_semi")
+        scored = scored.withColumn("rho", F.col("link_probability") / 2)
     else:
-        kept = materialize(kept, "matches")
-        scored = kept.join(coherence(kept, related), ["pmid", "wiki_id"], "left")
-        rho = (F.col("link_probability") + F.coalesce("coherence", F.lit(0.0))) / 2
-    return (
-        scored.withColumn("rho", rho)
-        .where(F.col("title").isNotNull() & (F.col("rho") >= F.lit(epsilon)))
-        .select(
-            "pmid", "start", (F.col("start") + F.col("words")).alias("end"), "spot", "wiki_id", "title",
-            "link_probability", "rho", "categories",
-        )
+        found = materialize(found, "candidates")
+        kept = materialize(found.join(longest_matches(found), ["pmid", "start", "words"], "left_semi"), "matches")
+        first = Window.partitionBy("pmid", "start", "words").orderBy(F.desc("rho"), F.desc("commonness"), "wiki_id")
+        chosen = rated(kept, related).withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth", "rho")
+        scored = rated(materialize(chosen, "senses"), related)
+    return scored.where(F.col("title").isNotNull() & (F.col("rho") >= F.lit(epsilon))).select(
+        "pmid", "start", (F.col("start") + F.col("words")).alias("end"), "spot", "wiki_id", "title",
+        "link_probability", "rho", "categories",
     )
 
 
+def rated(matches: DataFrame, related: DataFrame) -> DataFrame:
+    """``matches`` with ``rho``, the mean of link probability and coherence."""
+    return matches.join(coherence(matches, related), ["pmid", "wiki_id"], "left").withColumn(
+        "rho", (F.col("link_probability") + F.coalesce("coherence", F.lit(0.0))) / 2
+    ).drop("coherence")
+
+
 def coherence(matches: DataFrame, related: DataFrame) -> DataFrame:
     """(pmid, wiki_id, coherence): mean relatedness of an entity to the other entities of its document.
 
-    Entity pairs without a relatedness count as 0.
+    Entity pairs without a relatedness count as 0. The work follows the related pairs: from a document's entities to
+    their neighbours, of which those in the document count.
     """
     counts = mention_counts(matches, "distinct")
     sizes = counts.groupBy("pmid").agg(F.count(F.lit(1)).alias("degree"))
-    rows = counts.join(sizes, "pmid").withColumn("copies", F.lit(1)).join(entity_degrees(counts), "wiki_id")
-    pairs = profile_pairs(rows).select("pmid", "degree", "wid1", "wid2")
-    known = pairs.join(related, ["wid1", "wid2"])
-    return (
-        symmetrize(known, "wid1", "wid2")
-        .groupBy("pmid", F.col("wid1").alias("wiki_id"))
-        .agg((F.sum("relatedness") / (F.max("degree") - 1)).alias("coherence"))
+    near = symmetrize(related.where("relatedness <> 0").select("wid1", "wid2", "relatedness"), "wid1", "wid2")
+    own = counts.select("pmid", F.col("wiki_id").alias("wid1"))
+    there = counts.select("pmid", F.col("wiki_id").alias("wid2"))
+    known = own.join(near, "wid1").join(there, ["pmid", "wid2"])
+    return known.join(sizes, "pmid").groupBy("pmid", F.col("wid1").alias("wiki_id")).agg(
+        (F.sum("relatedness") / (F.max("degree") - 1)).alias("coherence")
     )
 
 
@@ -139,7 +158,7 @@ def filter_categories(annotations: DataFrame, categories: DataFrame) -> DataFram
     exploded = annotations.withColumn("category", F.explode("categories"))
     allowed = categories.select("category").distinct()
     return (
-        join_dimension(exploded, allowed, ["category"], how="left_semi")
+        exploded.join(allowed, ["category"], "left_semi")
         .select("pmid", "wiki_id", "spot", "rho", "title")
         .distinct()
     )

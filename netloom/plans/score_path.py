@@ -19,7 +19,7 @@ def build_annotations(
     text = documents.select(
         F.col("PMID").alias("pmid"), document_text(F.col("Title"), F.col("Abstract")).alias("text")
     )
-    found = annotate(text, dictionary, cfg.max_words, cfg.epsilon)
+    found = annotate(text, dictionary, cfg.epsilon)
     path = write_table(filter_categories(found, categories), cfg.table("annotations"))
     return read_table(spark, path)
 

@@ -23,7 +23,7 @@ GRAMS = (
     "{name}_t as materialized (select {key} as pmid, {tokens} as t from {table}), "
     "{name}_p as (select pmid, t, unnest(generate_series(1, len(t))) as s from {name}_t), "
     "{name} as (select pmid, s - 1 as start, n as words, array_to_string(t[s:s + n - 1], ' ') as spot "
-    "from {name}_p, (select unnest([1, 2, 3]) as n) k where s + n - 1 <= len(t))"
+    "from {name}_p, (select unnest(generate_series(1, 6)) as n) k where s + n - 1 <= len(t))"
 )
 
 
@@ -34,18 +34,20 @@ def grams_sql(name: str, table: str, key: str) -> str:
 ANNOTATE_CTES = (
     f"{grams_sql('bg', 'benchmark', 'item_id')}, {grams_sql('dg', 'documents', 'doc_id')}, "
     "dict as (select spot, min(pmid) as wiki_id, spot || '.' as title, "
-    "cast(count(distinct pmid) as double) / cast(count(*) as double) as lp from bg where words <= 2 group by spot), "
+    "cast(count(distinct pmid) as double) / cast(count(*) as double) as lp from bg group by spot), "
     "f as (select dg.pmid, dg.start, dg.words, dg.spot, wiki_id, title, lp from dg join dict using (spot)), "
-    "a as materialized (select pmid, start, max(words) as words from f group by all), "
-    "kept as (select a.* from a where not exists (select 1 from a o where o.pmid = a.pmid "
-    "and o.start between a.start - 2 and a.start + 2 and o.start < a.start + a.words and a.start < o.start + o.words "
-    "and (o.words > a.words or (o.words = a.words and o.start < a.start))))"
+    "a as (select distinct pmid, start, words from f), "
+    # Greedy: the longest match first, each if it overlaps none that is kept.
+    "l as (select pmid, list([{'start': start, 'words': words}] order by words desc, start) as l from a group by pmid), "
+    "g as (select pmid, list_reduce(l, lambda k, m: case when len(list_filter(k, lambda o: o.start < m[1].start + m[1].words "
+    "and m[1].start < o.start + o.words)) > 0 then k else list_concat(k, m) end) as l from l), "
+    "kept as (select pmid, unnest(l).start as start, unnest(l).words as words from g)"
 )
 
 
 def dictionary(t: Tables) -> DataFrame:
-    """Words and word pairs of the benchmark passages."""
-    grams = ngrams(t.benchmark.withColumnRenamed("item_id", "pmid"), 2)
+    """Runs of one to six words of the benchmark passages."""
+    grams = ngrams(t.benchmark.withColumnRenamed("item_id", "pmid"), 6)
     return grams.groupBy("spot").agg(
         F.min("pmid").alias("wiki_id"),
         (F.count_distinct("pmid").cast("double") / F.count(F.lit(1)).cast("double")).alias("link_probability"),

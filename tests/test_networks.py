@@ -99,33 +99,46 @@ def dictionary(spark):
 
 def test_longest_spot_wins(spark, rows):
     docs = spark.createDataFrame([(1, "Gene therapy, and a gene."), (2, "THERAPY cell"), (3, None)], "pmid int, text string")
-    found = annotate(docs, dictionary(spark), 3)
+    found = annotate(docs, dictionary(spark))
     assert rows(found, "pmid", "start", "end", "spot", "wiki_id", "rho") == [
         (1, 0, 2, "gene therapy", 2, 0.4), (1, 4, 5, "gene", 1, 0.1), (2, 0, 1, "therapy", 3, 0.2),
     ]
-    assert rows(annotate(docs, dictionary(spark), 3, epsilon=0.2), "wiki_id") == [(2,), (3,)]
+    assert rows(annotate(docs, dictionary(spark), epsilon=0.2), "wiki_id") == [(2,), (3,)]
 
 
-@pytest.mark.parametrize("block", [1, 2, 5, 4096])
-def test_blocks_do_not_change_the_matches(spark, rows, block):
-    """Matches of a document, resolved in blocks of any size and by hand."""
+def test_overlaps_are_settled_greedily(spark, rows):
+    """The longest match first, each if it overlaps none that is kept."""
     rng = random.Random(4)
-    matches = {s: rng.randrange(1, 4) for s in rng.sample(range(60), 40)}
+    matches = {(d, s, rng.randrange(1, 7)) for d in range(4) for s in rng.sample(range(80), 50)} | {(9, 0, 1), (9, 0, 2), (9, 1, 3)}
+    want = []
+    for d, s, n in sorted(matches, key=lambda m: (-m[2], m[1])):
+        if all(e != d or t + m <= s or s + n <= t for e, t, m in want):
+            want.append((d, s, n))
+    df = spark.createDataFrame(list(matches), "pmid int, start int, words int")
+    assert rows(longest_matches(df), "pmid", "start", "words") == sorted(want, key=repr)
+    assert {m for m in want if m[0] == 9} == {(9, 0, 1), (9, 1, 3)}
+
+
+def test_entries_of_any_length(spark, rows):
+    entries = spark.createDataFrame(
+        [("tumor necrosis factor alpha", 1, "TNF", 0.5, 1.0, ["bio"]), ("tumor", 2, "Tumor", 0.5, 1.0, ["bio"])], DICTIONARY
+    )
+    docs = spark.createDataFrame([(1, "the tumor necrosis factor alpha was high"), (2, "a tumor necrosis")], "pmid int, text string")
+    assert rows(annotate(docs, entries), "pmid", "start", "end", "wiki_id") == [(1, 1, 5, 1), (2, 1, 2, 2)]
 
-    def beaten(s, n):
-        return any(
-            t < s + n and s < t + m and (m > n or (m == n and t < s)) for t, m in matches.items()
-        )
 
-    df = spark.createDataFrame([(1, s, n) for s, n in matches.items()], "pmid int, start int, words int")
-    want = sorted(((1, s, n) for s, n in matches.items() if not beaten(s, n)), key=repr)
-    assert rows(longest_matches(df, max_words=3, block=block), "pmid", "start", "words") == want
+def test_coherence_chooses_the_sense(spark):
+    docs = spark.createDataFrame([(1, "therapy of the gene")], "pmid int, text string")
+    related = spark.createDataFrame([(1, 4, 0.9), (1, 3, 0.0)], "wid1 int, wid2 int, relatedness double")
+    assert {r.wiki_id for r in annotate(docs, dictionary(spark)).collect()} == {1, 3}
+    got = {r.wiki_id: round(r.rho, 6) for r in annotate(docs, dictionary(spark), related=related).collect()}
+    assert got == {1: 0.55, 4: 0.65}
 
 
 def test_coherence_raises_the_score(spark):
     docs = spark.createDataFrame([(1, "gene and therapy and gene therapy")], "pmid int, text string")
     related = spark.createDataFrame([(1, 2, 0.6), (2, 3, 0.2)], "wid1 int, wid2 int, relatedness double")
-    got = {r.wiki_id: r.rho for r in annotate(docs, dictionary(spark), 3, related=related).collect()}
+    got = {r.wiki_id: r.rho for r in annotate(docs, dictionary(spark), related=related).collect()}
     assert {k: round(v, 6) for k, v in got.items()} == {1: 0.25, 2: 0.6, 3: 0.25}
 
 
