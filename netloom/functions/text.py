@@ -6,8 +6,8 @@ from pyspark.sql import Column, functions as F
 
 # Term prefixes whose first dash-separated part is a species or class tag.
 TAGGED_TERMS = ("hsa", "lnc")
-# Fixed value: alternatives in a protein name, as in "Name (Other) (Another)".
-PARENTHESISED = r"\([^(|)]+\)"
+# One parenthesised group, with groups inside it.
+GROUP = r"\((?:[^()]|\([^()]*\))*\)"
 
 
 def normalize_term(term: Column) -> Column:
@@ -80,16 +80,21 @@ def inverted_names(name: Column) -> Column:
 
 
 def protein_aliases(names: Column) -> Column:
-    """Leading protein name, then every parenthesised alternative, whole."""
-    leading = F.get(F.split(names, rf"\s+{PARENTHESISED}\s+({PARENTHESISED})+"), F.lit(0))
-    others = F.regexp_extract_all(names, F.lit(r" \(([^(|)]+)\)"), F.lit(1))
-    return F.concat(F.array(leading), others)
+    """Leading protein name, then every alternative of the groups that end the text, whole.
+
+    ``Name (EC 1.1) (Other) [Cleaved into: ...]``: what stands in brackets at the end belongs to other proteins. A group inside the
+    leading name stays part of it.
+    """
+    own = F.regexp_replace(names, r"\s*\[.*$", "")
+    leading = F.regexp_extract(own, rf"^(.*?)(?:\s+{GROUP})*$", 1)
+    groups = F.regexp_extract_all(F.substring(own, F.length(leading) + 1, F.length(own)), F.lit(rf"\s({GROUP})"), F.lit(1))
+    return F.concat(F.array(leading), F.transform(groups, lambda g: F.substring(g, F.lit(2), F.length(g) - 2)))
 
 
 def proteins_of_species(lines: Column, species: str = "Homo sapiens") -> Column:
-    """Accessions named in annotation lines such as ``#1# Homo sapiens P07327 UniProt <1,2>``."""
-    pattern = rf"#\d+# {species} (\w+)? (\w+)? <\d+(,\d+)*>"
-    found = F.transform(lines, lambda x: F.regexp_extract(x, pattern, 1))
+    """Accessions of protein lines: ``#numbers# organism accession database <references>``, the middle two optional."""
+    head = rf"^#[\d,]+#\s+{species}\s+([A-Z]\w*)(?:\s+\w+)?\s+<"
+    found = F.transform(lines, lambda x: F.regexp_extract(x, head, 1))
     return F.array_distinct(F.filter(found, lambda x: x != ""))
 
 

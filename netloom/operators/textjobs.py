@@ -2,34 +2,39 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netloom.functions.parsing import (
     attribute, fasta_fields, first_value, insert_tuples, quoted_text, stanza_values, tuple_fields,
 )
 from netloom.functions.text import proteins_of_species, quoted_items
 
-# SQL column types and the Spark types they are read as.
-DDL_TYPES = {
-    "varchar": "string",
-    "int": "int",
-    "text": "string",
-    "integer": "int",
-    "float": "float",
-    "double": "double",
-    "decimal": "double",
-}
-# Fixed value: the most columns a table of the dump format can have.
-MAX_DUMP_COLUMNS = 4096
+# Column types of the dump's data definition language by family, and the Spark types that hold all their values.
+WHOLE = {"tinyint": "smallint", "smallint": "int", "mediumint": "int", "int": "int", "integer": "int", "bigint": "bigint"}
+BROKEN = ("decimal", "dec", "numeric", "fixed", "float", "double", "real")
+MOMENTS = {"date": "date", "datetime": "timestamp", "timestamp": "timestamp"}
+# Unsigned numbers may need the next wider type.
+WIDER = {"smallint": "int", "int": "bigint", "bigint": "decimal(20,0)"}
+
+
+def spark_type(declared: str) -> str:
+    """Spark type of a declared column such as ``bigint(20) unsigned NOT NULL``; what is no number or moment is text."""
+    word = re.match(r"\s*([a-z]*)", declared.lower())[1]
+    if word in WHOLE:
+        return WIDER[WHOLE[word]] if "unsigned" in declared.lower() and word == "bigint" else WHOLE[word]
+    if word in ("bool", "boolean"):
+        return "smallint"
+    return "double" if word in BROKEN else MOMENTS.get(word, "string")
 
 
 # --- SQL dump ---------------------------------------------------------------------------------
 
 
 def dump_columns(lines: DataFrame) -> DataFrame:
-    """(file, block, line_no, name, type): columns of the CREATE TABLE statements of a SQL dump.
+    """(file, block, line_no, table, name, declared): columns of the CREATE TABLE statements of a SQL dump.
 
     ``lines`` comes from ``read_lines``. Only comment and DDL lines are ordered; the data lines, nearly
     all of a dump, are filtered out in the scan.
@@ -40,39 +45,52 @@ def dump_columns(lines: DataFrame) -> DataFrame:
         & (value.startswith("--") | value.contains("CREATE TABLE") | value.contains("`"))
     )
     creates = value.contains("CREATE TABLE")
-    state = F.when(value.startswith("--"), F.lit("section")).when(creates, F.lit("create"))
+    parts = F.split(value, "`")
+    state = F.when(value.startswith("--"), F.lit("")).when(creates, F.get(parts, F.lit(1)))
     before = Window.partitionBy("file").orderBy("block", "line_no").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    parts = F.split(value, "`")
-    sql_type = F.lower(F.regexp_extract(F.get(parts, F.lit(2)), r"^ ([A-Za-z]+)", 1))
-    types = F.create_map(*[F.lit(x) for pair in DDL_TYPES.items() for x in pair])
     return (
-        ddl.withColumn("_state", F.last(state, ignorenulls=True).over(before))
-        .where((F.col("_state") == "create") & ~creates & value.contains("`") & ~value.contains("KEY"))
-        .select("file", "block", "line_no", F.get(parts, F.lit(1)).alias("name"), types[sql_type].alias("type"))
+        ddl.withColumn("table", F.last(state, ignorenulls=True).over(before))
+        .where((F.col("table") != "") & ~creates & value.rlike("^\\s*`"))
+        .select("file", "block", "line_no", "table", F.get(parts, F.lit(1)).alias("name"), F.get(parts, F.lit(2)).alias("declared"))
     )
 
 
-def dump_schema(lines: DataFrame) -> list[tuple[str, str]]:
-    """(name, type) of the table in a one-table dump, in order: the few DDL rows, read by the driver."""
-    rows = dump_columns(lines).orderBy("file", "block", "line_no").select("name", "type").limit(MAX_DUMP_COLUMNS).collect()
-    return [(r["name"], r["type"]) for r in rows]
+def dump_schema(lines: DataFrame, table: str | None = None) -> list[tuple[str, str]]:
+    """(name, type) of a table of a dump, in order; ``table`` may be left out when the dump has one.
+
+    Files of one dump each define the table; their definitions must agree and count once. The driver reads the different
+    definitions, two at most.
+    """
+    columns = dump_columns(lines)
+    if table is not None:
+        columns = columns.where(F.col("table") == table)
+    ordered = F.sort_array(F.collect_list(F.struct("block", "line_no", "name", "declared")))
+    found = (
+        columns.groupBy("file", "table").agg(F.transform(ordered, lambda c: F.struct(c["name"], c["declared"])).alias("columns"))
+        .select("table", "columns").distinct().limit(2).collect()
+    )
+    if len(found) > 1:
+        raise ValueError(f"the dump defines {' and '.join(sorted({r['table'] for r in found}))}, not one table in one way")
+    return [(c["name"], spark_type(c["declared"])) for r in found for c in r["columns"]]
 
 
-def dump_rows(lines: DataFrame, schema: Sequence[tuple[str, str]]) -> DataFrame:
+def dump_rows(lines: DataFrame, schema: Sequence[tuple[str, str]], table: str | None = None) -> DataFrame:
     """Typed rows of the INSERT statements of a dump; rows whose first field is not a number are dropped.
 
     The last column holds quoted text, which may contain commas.
     """
     n = len(schema)
-    values = lines.where(F.col("value").contains("INSERT INTO")).select(
-        F.explode(insert_tuples(F.col("value"))).alias("_v")
-    ).select(tuple_fields(F.col("_v"), n).alias("_f"))
-    kept = values.where(F.get("_f", F.lit(0)).try_cast("bigint").isNotNull())
-    return kept.select(
-        *[F.get("_f", F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(schema)]
-    )
+    inserts = lines.where(F.col("value").contains("INSERT INTO" if table is None else f"INSERT INTO `{table}`"))
+    values = inserts.select(F.explode(insert_tuples(F.col("value"))).alias("_v")).select(tuple_fields(F.col("_v"), n).alias("_f"))
+    kept = values.where(F.get("_f", F.lit(0)).try_cast("decimal(38,0)").isNotNull())
+
+    def cell(i: int, kind: str):
+        field = F.get("_f", F.lit(i))
+        return (F.trim(F.replace(field, F.lit("'"), F.lit(""))) if kind in MOMENTS.values() else field).try_cast(kind)
+
+    return kept.select(*[cell(i, kind).alias(name) for i, (name, kind) in enumerate(schema)])
 
 
 def sentences_to_documents(
@@ -234,15 +252,28 @@ ARTICLE_SCHEMA = (
 
 
 def articles(records: DataFrame) -> DataFrame:
-    """(PMID, Title, Abstract) from article records: paragraphs joined with a space, missing text empty."""
+    """(PMID, Title, Abstract) from article records: paragraphs joined with a space, missing text empty.
+
+    A text field with inline markup comes as its inner XML and is reduced to plain text.
+    """
     article = "MedlineCitation.Article"
     return records.select(
         F.col("MedlineCitation.PMID._VALUE").alias("PMID"),
-        F.coalesce(F.col(f"{article}.ArticleTitle"), F.lit("")).alias("Title"),
-        F.coalesce(F.array_join(f"{article}.Abstract.AbstractText", " "), F.lit("")).alias("Abstract"),
+        F.coalesce(plain_text(F.col(f"{article}.ArticleTitle")), F.lit("")).alias("Title"),
+        F.coalesce(
+            F.array_join(F.transform(f"{article}.Abstract.AbstractText", plain_text), " "), F.lit("")
+        ).alias("Abstract"),
     )
 
 
+def plain_text(markup: Column) -> Column:
+    """Text of a field with inline tags: the tags go.
+
+    Only names of elements in use for inline markup count as tags, so a "<" of the text itself stays.
+    """
+    return F.regexp_replace(markup, r"</?(?:i|b|u|sub|sup|sc|em|strong|mml:[a-z]+)(?:\s[^<>]*)?/?>", "")
+
+
 def flatten_children(
     records: DataFrame, keys: dict[str, str], path: str, values: Sequence[str]
 ) -> DataFrame:
@@ -258,30 +289,35 @@ def flatten_children(
     ).distinct()
 
 
-def flatten_polypeptides(records: DataFrame, keys: dict[str, str], path: str, organism: str = "Humans") -> DataFrame:
-    """Three levels: component, polypeptide, then its synonyms and external identifiers.
+def component_parts(records: DataFrame, keys: dict[str, str], path: str, organism: str = "Humans") -> DataFrame:
+    """(keys, component, component_name, part, part_name, source, gene, synonyms, references): a row per polypeptide.
 
-    Components of other organisms are dropped, as are polypeptides without synonyms or identifiers.
+    Components of other organisms are dropped. The lists of a polypeptide stay in its row, so that none multiplies another;
+    ``part_synonyms`` and ``part_references`` make child tables of them.
     """
-    c = path.split(".")[1]
-    quoted = ".".join(f"`{p}`" for p in path.split("."))
-    components = records.selectExpr(*[f"{e} as {n}" for n, e in keys.items()], f"explode({quoted}) as _c")
-    peptides = components.where(F.col("_c.organism").contains(organism)).selectExpr(
-        *keys, f"_c.id as {c}_id", f"_c.name as {c}_name", "explode(_c.polypeptide) as _p"
-    )
-    p = f"{c}_polypeptide"
-    own = [*keys, f"{c}_id", f"{c}_name"]
-    named = peptides.selectExpr(
-        *own, f"_p._id as {p}_id", f"_p.name as {p}_name", f"_p._source as {p}_source",
-        f"_p.`gene-name` as {p}_gene_name", "_p.`external-identifiers`.`external-identifier` as _x",
-        f"explode(_p.synonyms.synonym) as {p}_synonym",
-    )
-    cols = [*own, f"{p}_id", f"{p}_name", f"{p}_source", f"{p}_gene_name", f"{p}_synonym"]
-    return named.selectExpr(*cols, "explode(_x) as _e").selectExpr(
-        *cols, f"_e.identifier as {p}_ext_id_ref", f"_e.resource as {p}_ext_id_res"
+    field = ".".join(f"`{p}`" for p in path.split("."))
+    components = records.select(*[F.expr(e).alias(n) for n, e in keys.items()], F.explode(F.expr(field)).alias("c"))
+    return components.where(F.col("c.organism").contains(organism)).select(
+        *keys, F.col("c.id").alias("component"), F.col("c.name").alias("component_name"), F.explode("c.polypeptide").alias("p")
+    ).select(
+        *keys, "component", "component_name", F.col("p._id").alias("part"), F.col("p.name").alias("part_name"),
+        F.col("p._source").alias("source"), F.col("p.`gene-name`").alias("gene"), F.col("p.synonyms.synonym").alias("synonyms"),
+        F.col("p.`external-identifiers`.`external-identifier`").alias("references"),
     )
 
 
+def part_synonyms(parts: DataFrame) -> DataFrame:
+    """(component, part, synonym), distinct."""
+    return parts.select("component", "part", F.explode("synonyms").alias("synonym")).distinct()
+
+
+def part_references(parts: DataFrame) -> DataFrame:
+    """(component, part, resource, identifier), distinct."""
+    return parts.select("component", "part", F.explode("references").alias("r")).select(
+        "component", "part", "r.resource", "r.identifier"
+    ).distinct()
+
+
 def explode_quoted(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """One row per item of a quoted list column; rows without a list are dropped."""
     rows = df.where(F.col(column).isNotNull())

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from netloom.operators import textjobs
 from netloom.queries.entities import text
 from netloom.queries.registry import Registry, Tables
-from netloom.session import delete_at_exit, new_path
+from netloom.session import delete_at_exit, delete_now, new_path
 from netloom.sources import catalog
 from netloom.sources.spec import (
     SourceSpec, fields, read_csv, read_json, read_lines, read_positional, read_source, read_stanzas, read_table,
@@ -105,7 +105,7 @@ DUMP_HEADER = (
     "-- Table structure",
     "DROP TABLE IF EXISTS `SENTENCE`;",
     "CREATE TABLE `SENTENCE` (",
-    "  `SENTENCE_ID` int(10) unsigned NOT NULL,",
+    "  `SENTENCE_ID` bigint(20) NOT NULL,",
     "  `PMID` varchar(20) NOT NULL,",
     "  `TYPE` varchar(2) NOT NULL,",
     "  `NUMBER` int(10) unsigned NOT NULL,",
@@ -116,8 +116,8 @@ DUMP_HEADER = (
 )
 
 
-def dump_lines(t: Tables) -> DataFrame:
-    """The conversations as a SQL dump: a statement per turn, a tuple per line of text."""
+def dump_lines(t: Tables, odd: bool) -> DataFrame:
+    """Half of the conversations as a SQL dump: a statement per turn, a tuple per line of text."""
     kind = F.when(F.col("role") == "user", "ti").otherwise("ab")
 
     def as_tuple(line: Column, i: Column) -> Column:
@@ -128,7 +128,7 @@ def dump_lines(t: Tables) -> DataFrame:
         )
 
     tuples = F.array_join(F.transform(F.split("text", "\n"), as_tuple), ",")
-    data = t.conversations.select(F.concat(F.lit("INSERT INTO `SENTENCE` VALUES "), tuples, F.lit(";")).alias("value"))
+    data = t.conversations.where((F.pmod("conv_id", F.lit(2)) == 1) == odd).select(F.concat(F.lit("INSERT INTO `SENTENCE` VALUES "), tuples, F.lit(";")).alias("value"))
     # The data definition of the dump precedes the rows derived from the table.
     quoted = ", ".join(f"'{line}'" for line in DUMP_HEADER)
     return t.spark.sql(f"select explode(array({quoted})) as value").unionByName(data)
@@ -142,8 +142,10 @@ def dump_lines(t: Tables) -> DataFrame:
     "string_agg(case when role <> 'user' then line end, ' ' order by n) as abstract from s group by all"
 )
 def sql_dump_sentences(t: Tables) -> DataFrame:
-    lines = read_lines(t.spark, put_text(t, dump_lines(t), "dump"))
-    rows = textjobs.dump_rows(lines, textjobs.dump_schema(lines))
+    """A dump in two parts, each with the definition of the table."""
+    parts = [put_text(t, dump_lines(t, odd).coalesce(1), "dump") for odd in (False, True)]
+    lines = read_lines(t.spark, parts)
+    rows = textjobs.dump_rows(lines, textjobs.dump_schema(lines, "SENTENCE"), "SENTENCE")
     found = textjobs.sentences_to_documents(rows)
     return found.toDF(*[c.lower() for c in found.columns])
 
@@ -215,22 +217,34 @@ def xml_file(t: Tables, df: DataFrame, label: str, root: str, row: str) -> str:
     return delete_at_exit(t.spark, path)
 
 
+ARTICLE_TEXT = "md5(array_to_string(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), ' '))"
+
+
 @register(
-    "select doc_id as pmid, md5(source || ' ' || lang) as title, md5(case when lang = 'en' "
-    "then array_to_string(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), ' ') else '' end) as abstract from documents"
+    f"select doc_id as pmid, md5(source || ' ' || lang) as title, {ARTICLE_TEXT} as abstract from documents "
+    "union all select -1 - nation.n_nationkey, md5(n_name || ' in vivo'), md5('') from nation"
 )
 def xml_articles(t: Tables) -> DataFrame:
-    """Documents as article records, a paragraph per line; only English ones have an abstract."""
-    paragraphs = F.transform(F.split("text", "\n"), lambda x: F.trim(x))
-    record = F.struct(
-        F.struct(F.col("doc_id").alias("_VALUE"), F.lit("1").alias("_Version")).alias("PMID"),
-        F.struct(
-            F.concat_ws(" ", "source", "lang").alias("ArticleTitle"),
-            F.when(F.col("lang") == "en", F.struct(paragraphs.alias("AbstractText"))).alias("Abstract"),
-        ).alias("Article"),
+    """Documents as article records, a paragraph per line and inline tags in the title; the nations have no abstract."""
+    def escaped(c: Column) -> Column:
+        return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+    def record(pmid: Column, title: Column, abstract: Column) -> Column:
+        return F.concat(
+            F.lit('<PubmedArticle><MedlineCitation><PMID Version="1">'), pmid.cast("string"), F.lit("</PMID><Article><ArticleTitle>"), title,
+            F.lit("</ArticleTitle>"), abstract, F.lit("</Article></MedlineCitation></PubmedArticle>"),
+        ).alias("value")
+
+    paragraphs = F.transform(
+        F.split("text", "\n"), lambda x: F.concat(F.lit("<AbstractText>"), escaped(x), F.lit("</AbstractText>"))
     )
-    path = xml_file(t, t.documents.select(record.alias("MedlineCitation")), "articles", "PubmedArticleSet", "PubmedArticle")
-    found = textjobs.articles(read_xml(t.spark, path, "PubmedArticle", textjobs.ARTICLE_SCHEMA))
+    written = t.documents.select(record(
+        F.col("doc_id"), F.concat(F.lit("<i>"), "source", F.lit("</i> "), "lang"),
+        F.concat(F.lit("<Abstract>"), F.array_join(paragraphs, ""), F.lit("</Abstract>")),
+    )).unionByName(t.nation.select(record(
+        -1 - F.col("n_nationkey"), F.concat("n_name", F.lit(' <i class="x">in vivo</i>')), F.lit("")
+    )))
+    found = textjobs.articles(read_xml(t.spark, put_text(t, written, "articles"), "PubmedArticle", textjobs.ARTICLE_SCHEMA))
     return found.select(F.col("PMID").alias("pmid"), F.md5("Title").alias("title"), F.md5("Abstract").alias("abstract"))
 
 
@@ -290,19 +304,18 @@ def nested_flatten_optional(t: Tables) -> DataFrame:
 
 
 @register(
-    "select 'DB' || p_partkey as drug_id, p_name as drug_name, 'BE' || n || '-' || p_partkey as target_id, "
-    "'t' || n || ' ' || p_type as target_name, 'P' || p_partkey as peptide, p_brand as gene, syn, res, substr(res, 1, 1) || p_partkey as ref "
-    "from part, (select unnest([1, 2]) as n) k, (select unnest([1, 2]) as s) ss, (select unnest(['HGNC', 'GB']) as res) r, "
-    "lateral (select case s when 1 then p_type else p_brand end as syn) y where n = 1 or p_size > 25"
+    "select distinct 'DB' || p_partkey as drug_id, p_name as drug_name, 'BE' || n || '-' || p_partkey as component, "
+    "'t' || n || ' ' || p_type as component_name, 'P' || p_partkey as part, p_brand as gene, kind, value from part, "
+    "(select unnest([1, 2]) as n) k, lateral (select unnest(['synonym', 'synonym', 'HGNC', 'GB']) as kind, "
+    "unnest([p_type, p_brand, 'H' || p_partkey, 'G' || p_partkey]) as value) c where n = 1 or p_size > 25"
 )
 def nested_polypeptides(t: Tables) -> DataFrame:
-    """Three nested levels; components of other organisms are dropped."""
-    found = textjobs.flatten_polypeptides(drug_records(t), DRUG_KEYS, catalog.DRUG_TARGETS)
-    p = "target_polypeptide"
-    return found.select(
-        "drug_id", "drug_name", "target_id", "target_name", F.col(f"{p}_id").alias("peptide"), F.col(f"{p}_gene_name").alias("gene"),
-        F.col(f"{p}_synonym").alias("syn"), F.col(f"{p}_ext_id_res").alias("res"), F.col(f"{p}_ext_id_ref").alias("ref"),
-    )
+    """Three nested levels, the innermost as child tables; components of other organisms are dropped."""
+    parts = textjobs.component_parts(drug_records(t), DRUG_KEYS, catalog.DRUG_TARGETS)
+    synonyms = textjobs.part_synonyms(parts).select("component", "part", F.lit("synonym").alias("kind"), F.col("synonym").alias("value"))
+    references = textjobs.part_references(parts).toDF("component", "part", "kind", "value")
+    own = parts.select("drug_id", "drug_name", "component", "component_name", "part", "gene").distinct()
+    return own.join(synonyms.unionByName(references), ["component", "part"])
 
 
 # --- streaming ------------------------------------------------------------------------------------
@@ -313,7 +326,8 @@ def stream_intake(t: Tables) -> DataFrame:
     """The documents file as a stream, appended to an empty corpus once per distinct text."""
     schema = t.documents.schema
     stream = table_stream(t.spark, t.folder, schema, "documents.parquet").select(F.md5("text").alias("pmid"), "doc_id")
-    corpus = new_path(t.spark, "corpus")
-    query = start_intake(stream, corpus, new_path(t.spark, "intake-checkpoint"))
+    corpus, checkpoint = new_path(t.spark, "corpus"), new_path(t.spark, "intake-checkpoint")
+    query = start_intake(stream, corpus, checkpoint)
     query.awaitTermination()
+    delete_now(t.spark, checkpoint)
     return read_table(t.spark, delete_at_exit(t.spark, corpus))

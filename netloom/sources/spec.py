@@ -124,11 +124,19 @@ def read_stanzas(spark: SparkSession, path: str | Sequence[str], separator: str)
 
 
 def read_xml(spark: SparkSession, path: str | Sequence[str], row_tag: str, schema: StructType | str | None = None) -> DataFrame:
-    """One row per element ``row_tag``; attributes are ``_name``, mixed text is ``_VALUE``."""
-    reader = spark.read.format("xml").option("rowTag", row_tag)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+    """One row per element ``row_tag``; attributes are ``_name``, mixed text is ``_VALUE``.
+
+    With a schema the end tag is the record delimiter of a text scan, so a large file is split among tasks; then no element inside
+    ``row_tag`` may have the same name. Without one the files are read whole to find the schema.
+    """
+    if schema is None:
+        return spark.read.format("xml").option("rowTag", row_tag).load(path)
+    records = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    body = F.regexp_extract("value", rf"(?s)<{row_tag}(?=[\s>]).*$", 0)
+    parsed = records.select(body.alias("_x")).where("_x <> ''").select(
+        F.from_xml(F.concat("_x", F.lit(f"</{row_tag}>")), schema, {"rowTag": row_tag}).alias("_x")
+    )
+    return parsed.select("_x.*")
 
 
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: StructType | str) -> DataFrame:
@@ -152,6 +160,6 @@ def write_table(
 
 def write_tsv(df: DataFrame, path: str, single_file: bool = False) -> str:
     """Headered tab-separated export; one part file only on request, since that is one task."""
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).option("sep", "\t").csv(path)
     return path

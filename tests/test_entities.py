@@ -210,10 +210,10 @@ def test_living_mirnas_of_one_species(spark, rows):
 
 def test_pathway_gene_triples(spark, rows):
     df = spark.createDataFrame(
-        [("P1", "path", "g", "HUMAN|HGNC=1|UniProtKB=P9", "prot"), ("P2", "path", "g", "MOUSE|MGI=1|UniProtKB=P8", "prot"), ("P3", "p", "g", "HUMAN", "x")],
+        [("P1", "path", "g", "HUMAN|HGNC=1|UniProtKB=P9", "prot"), ("P2", "path", "g", "MOUSE|MGI=1|UniProtKB=P8", "prot"), ("P3", "p", "g", "HUMAN", "x"), ("P4", "p", "g", "HUMAN|HUMAN|UniProtKB=P7", "x")],
         "Panther_ID string, Pathway_name string, gene_name string, gen_prot_ID string, protein_name string",
     )
-    assert rows(databases.pathway_genes(df)) == [("P1", "path", "g", "HGNC=1", "P9"), ("P3", "p", "g", None, None)]
+    assert rows(databases.pathway_genes(df)) == [("P1", "path", "g", "HGNC=1", "P9"), ("P3", "p", "g", None, None), ("P4", "p", "g", "HUMAN", "P7")]
 
 
 def test_unreviewed_proteins_are_dropped(spark, rows):

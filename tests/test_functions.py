@@ -56,6 +56,8 @@ def test_inverted_names(apply):
 
 def test_protein_aliases_are_whole(apply):
     assert apply(fn.protein_aliases, "Enzyme A (EC 1.1) (Enz)", "Plain") == [["Enzyme A", "EC 1.1", "Enz"], ["Plain"]]
+    got = apply(fn.protein_aliases, "A (B) chain (EC 2) (C (d) e) [Cleaved into: X (Y)]", "N(1) x")
+    assert got == [["A (B) chain", "EC 2", "C (d) e"], ["N(1) x"]]
 
 
 def test_missing_values(apply):
@@ -67,7 +69,7 @@ def test_quoted_items(apply):
 
 
 def test_proteins_of_species(spark):
-    lines = ["#1# Homo sapiens P1 UniProt <1,2>", "#2# Homo sapiens P1 UniProt <3>", "#3# Bos taurus Q1 UniProt <4>"]
+    lines = ["#1# Homo sapiens P1 UniProt <1,2>", "#2# Homo sapiens P1 UniProt <3>", "#3# Bos taurus Q1 UniProt <4>", "#4,5# Homo sapiens <1>"]
     df = spark.createDataFrame([(lines,)], "v array<string>")
     assert df.select(fn.proteins_of_species(F.col("v"))).first()[0] == ["P1"]
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from netloom.operators import textjobs
 from netloom.sources import catalog
@@ -40,6 +41,36 @@ def test_sql_dump(spark, rows, tmp_path):
     ]
 
 
+def test_dump_of_several_files_and_types(spark, rows, tmp_path):
+    head = "CREATE TABLE `T` (\n  `ID` bigint(20) unsigned NOT NULL,\n  `DAY` datetime DEFAULT NULL,\n  `KEYWORD` char(3),\n  `TXT` longtext,\n  KEY `k` (`ID`)\n) ;\n"
+    other = "CREATE TABLE `U` (\n  `X` int\n);\n-- data\nINSERT INTO `U` VALUES (7);\n"
+    row = "-- data\nINSERT INTO `T` VALUES ({}, '2020-01-02 03:04:05','abc','hello, {}');\n"
+    paths = [write(tmp_path, f"{n}.sql", head + row.format(18446744073709551615 - n, n) + other) for n in range(2)]
+    lines = read_lines(spark, paths)
+    schema = textjobs.dump_schema(lines, "T")
+    assert schema == [("ID", "decimal(20,0)"), ("DAY", "timestamp"), ("KEYWORD", "string"), ("TXT", "string")]
+    found = textjobs.dump_rows(lines, schema, "T").select("ID", F.col("DAY").cast("string"), "TXT")
+    assert [(int(i), d, x) for i, d, x in rows(found)] == [
+        (18446744073709551614, "2020-01-02 03:04:05", "hello,  1."), (18446744073709551615, "2020-01-02 03:04:05", "hello,  0."),
+    ]
+    with pytest.raises(ValueError, match="T and U"):
+        textjobs.dump_schema(lines)
+
+
+def test_xml_files_are_split(spark, tmp_path):
+    body = "".join(f'<a><r k="{n}"><v>x {n} &amp; <i>y</i></v></r></a>\n' for n in range(4000))
+    path = write(tmp_path, "big.xml", f"<all>{body}</all>")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        found = read_xml(spark, path, "r", "_k bigint, v string")
+        assert found.rdd.getNumPartitions() > 3
+        got = {r._k: r.v for r in found.select("_k", textjobs.plain_text(F.col("v")).alias("v")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {n: f"x {n} & y" for n in range(4000)}
+
+
 def test_lines_keep_file_order_across_splits(spark, tmp_path):
     path = write(tmp_path, "long.txt", "\n".join(f"{i:05d}" for i in range(5000)) + "\n\n")
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -204,10 +235,9 @@ def test_drug_database(spark, rows, tmp_path):
     from netloom.plans import databases
 
     records = read_xml(spark, write(tmp_path, "d.xml", DRUGS), catalog.DRUG_XML_ROW, catalog.DRUG_XML_SCHEMA)
-    parts = textjobs.flatten_polypeptides(records, databases.DRUG_KEYS, catalog.DRUG_TARGETS)
-    assert rows(parts, "drugbank_id", "target_id", "target_polypeptide_synonym", "target_polypeptide_ext_id_ref") == [
-        ("DB1", "BE1", "c1", "H1"), ("DB1", "BE1", "c2", "H1"),
-    ]
+    parts = textjobs.component_parts(records, databases.DRUG_KEYS, catalog.DRUG_TARGETS)
+    assert rows(textjobs.part_synonyms(parts), "component", "synonym") == [("BE1", "c1"), ("BE1", "c2")]
+    assert rows(textjobs.part_references(parts), "component", "resource", "identifier") == [("BE1", "HGNC", "H1")]
     header = "PharmGKB Accession Id\tName\tGeneric Names\tTrade Names\tBrand Mixtures\tCross-references\tInChI\tType\n"
     body = 'PA1\tAspirin\t"gen1", "gen2"\t\t\t"DrugBank:DB1", "Web:x"\t\tDrug\nPA2\tgroup\t\t\t\t\t\tDrug Class\n'
     spec = catalog.PHARMACOGENOMICS
