@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from netloom.functions.ids import ID_PREFIX, entity_id
 from netloom.operators.joins import spread_join
@@ -106,11 +106,17 @@ def _memberships(rows: DataFrame, n_sources: int) -> DataFrame:
     return union_all(rounds)
 
 
+def unnamed(source: str, id_col: str) -> Column:
+    """Key of a cluster without a name: its leading id. Null for one with a name."""
+    return F.when(F.col("NAME").isNull(), F.concat_ws(":", F.col(source).cast("string"), F.col(id_col)))
+
+
 def build_index(type_name: str, sources: Sequence[DataFrame], prefix: str = ID_PREFIX) -> EntityIndex:
     """Resolve the aliases of several sources into one index.
 
     Each source is a frame of (id, name, other_name). A cluster takes the smallest of its names; clusters
-    with the same name become one entity, whose id is derived from that name.
+    with the same name become one entity, whose id is derived from that name. A cluster without a name is an entity of its
+    own, with an id from its leading id.
     Names are settled before aliases are attached, so merged clusters are expanded once.
     """
     rows = _source_rows(sources)
@@ -122,10 +128,17 @@ def build_index(type_name: str, sources: Sequence[DataFrame], prefix: str = ID_P
         cluster_names = (
             member.join(names, ["src", "id"]).groupBy("lead_src", "lead_id").agg(F.min("NAME").alias("NAME"))
         )
-        names = member.join(cluster_names, ["lead_src", "lead_id"]).select("NAME", "src", "id").distinct()
+        names = member.join(cluster_names, ["lead_src", "lead_id"]).select(
+            "NAME", unnamed("lead_src", "lead_id").alias("_lead"), "src", "id"
+        ).distinct()
         names = materialize(names, "entities")
+    else:
+        names = names.withColumn("_lead", unnamed("src", "id"))
     keys = ["IDX", "NAME", "TYPE"]
-    named = names.withColumn("IDX", entity_id(type_name, F.col("NAME"), prefix=prefix)).withColumn(
+    by_name, by_lead = (
+        entity_id(type_name, *parts, prefix=prefix) for parts in ([F.col("NAME")], [F.lit(""), F.col("_lead")])
+    )
+    named = names.withColumn("IDX", F.when(F.col("NAME").isNotNull(), by_name).otherwise(by_lead)).withColumn(
         "TYPE", F.lit(type_name)
     )
     known = rows.where(F.col("alias").isNotNull()).select("src", "id", "alias")

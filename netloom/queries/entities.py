@@ -51,6 +51,19 @@ def alias_index_one_source(t: Tables) -> DataFrame:
     return long_index(build_index("PART", [part_source(t)]))
 
 
+@register(
+    "with c as (select cast(c_custkey as varchar) as id, nullif(c_mktsegment, 'BUILDING') as name, c_name as alias from customer), "
+    "e as (select id, name, alias, 'KN_BUYER:' || md5(coalesce(name, '|0:' || id)) as idx from c) "
+    "select idx, name, 'alias' as kind, alias as value from e union all select idx, name, 'source', id from e"
+)
+def alias_index_unnamed(t: Tables) -> DataFrame:
+    """Customers of a segment are one entity; those without a name are entities of their own."""
+    source = t.customer.select(
+        F.col("c_custkey").alias("id"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("name"), F.col("c_name").alias("other_name")
+    )
+    return long_index(build_index("BUYER", [source]))
+
+
 def line_source_sql(table: str, key: str, tag: str) -> str:
     return (
         f"select '{tag}' || {key} as id, md5(text) as name, unnest(string_split(text, chr(10))) as alias from {table}"
@@ -131,7 +144,7 @@ def alias_index_nested(t: Tables) -> DataFrame:
 
 
 XREF_SQL = """with pr as (select o_custkey as l, l_suppkey as r, l_returnflag as f from lineitem join orders on l_orderkey = o_orderkey),
-refs as (select distinct 'C' || l as l, 'S' || r as r from pr where f in ('R', 'A')),
+refs as (select distinct 'C' || l as l, 'S' || r as r from pr),
 a as (select coalesce(refs.l, c.l) as l, refs.r from refs full join (select 'C' || c_custkey as l from customer) c using (l)),
 b as (select a.l, coalesce(a.r, s.r) as r from a full join (select 'S' || s_suppkey as r from supplier) s on a.r = s.r),
 ids as (select distinct l, r, 'KN_PARTY:' || md5(coalesce(l, '') || '|' || coalesce(r, '')) as idx from b),
@@ -144,7 +157,7 @@ union all select distinct idx, nm.name, 'source' as kind, source_id as value fro
 
 @register(XREF_SQL)
 def xref_index_full_join(t: Tables) -> DataFrame:
-    """Customers and suppliers; returned lines assert pairs from one side, accepted lines from the other."""
+    """Customers and suppliers; returned lines assert pairs from one side, all others from the other."""
     customer = t.customer.select(text("C{}", "c_custkey").alias("id"), F.col("c_name"), F.col("c_mktsegment"))
     supplier = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         text("S{}", "s_suppkey").alias("id"), F.col("s_name"), F.col("n_name")
@@ -153,10 +166,10 @@ def xref_index_full_join(t: Tables) -> DataFrame:
         text("C{}", "o_custkey").alias("left_id"), text("S{}", "l_suppkey").alias("right_id"), "l_returnflag"
     )
 
-    def refs(flag: str) -> DataFrame:
-        return pairs.where(F.col("l_returnflag") == flag).select("left_id", "right_id").distinct()
+    def refs(returned: bool) -> DataFrame:
+        return pairs.where((F.col("l_returnflag") == "R") == returned).select("left_id", "right_id").distinct()
 
-    return long_index(build_index_by_xref("PARTY", customer, supplier, refs("R"), refs("A")))
+    return long_index(build_index_by_xref("PARTY", customer, supplier, refs(True), refs(False)))
 
 
 # --- relations ------------------------------------------------------------------------------------
@@ -250,17 +263,17 @@ GENES_OF_DISEASE = (
 )
 DISEASE_CTES = [
     f"gd as (select distinct id, name, gene from ({GENES_OF_DISEASE}) q where kind <> 'phenotype')",
-    "vd as (select distinct 'D' || p_partkey as id, lower(p_name) || ' ' || p_partkey as name from part where p_size > 25)",
+    "vd as (select distinct 'D' || p_partkey as id, lower(p_name) || ' ' || p_partkey as name from part)",
     "known as (select id from gd union select id from vd)",
     f"dd as (select distinct 'D' || id1 as id1, 'D' || id2 as id2 from ({PART_EDGES}) e "
     "where 'D' || id1 in (select id from known) and 'D' || id2 in (select id from known))",
     "ddn as (select id1, id2, lower(a.p_name) || ' ' || a.p_partkey as n1, lower(b.p_name) || ' ' || b.p_partkey as n2 "
     "from dd join part a on id1 = 'D' || a.p_partkey join part b on id2 = 'D' || b.p_partkey)",
     "terms as (select 'T' || p_partkey as id, p_name || ' ' || p_partkey as name, p_brand as parent, "
-    "p_type || ' ' || p_partkey as synonym from part where p_name not like '%ring%')",
+    "p_type || ' ' || p_partkey as synonym from part)",
     "enh as (select distinct 'DE:' || md5(s_name || '|' || lower(p_name) || ' ' || l_partkey) as id, s_name as gene, "
     "lower(p_name) || ' ' || l_partkey as name from lineitem join part on l_partkey = p_partkey "
-    "join supplier on l_suppkey = s_suppkey where l_returnflag = 'R')",
+    "join supplier on l_suppkey = s_suppkey)",
     index_ctes("i", "DISEASE", [
         "select id, lower(name) as name, lower(unnest([name, synonym])) as alias from terms",
         "select id, name, name as alias from (select id1 as id, n1 as name from ddn union select id2, n2 from ddn "
@@ -289,7 +302,7 @@ def disease_database(t: Tables) -> DataFrame:
         F.col("s_name").alias("gene_name"), disease_id.alias("disease_dgn_id"), name.alias("disease_name"),
         F.when(F.col("l_linestatus") == "F", "phenotype").otherwise("disease").alias("diseaseType"),
     )
-    variants = t.part.where(F.col("p_size") > 25).select(
+    variants = t.part.select(
         F.col("p_brand").alias("snp_id"), disease_id.alias("disease_dgn_id"), name.alias("disease_name"),
         F.col("p_type").alias("source"), F.lit("disease").alias("diseaseType"),
     )
@@ -299,11 +312,11 @@ def disease_database(t: Tables) -> DataFrame:
         text("D{}", "id1").alias("disease_dgn_id1"), text("D{}", "id2").alias("disease_dgn_id2"),
         "disease_name1", "disease_name2",
     )
-    terms = t.part.where(~F.col("p_name").contains("ring")).select(
+    terms = t.part.select(
         text("T{}", "p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_partkey").alias("name"),
         F.array(F.concat_ws(" ", "p_type", "p_partkey")).alias("synonyms"), F.array("p_brand").alias("parent_ids"),
     )
-    enhancer = named.where(F.col("l_returnflag") == "R").select(F.col("s_name").alias("gene_name"), name.alias("disease_name"))
+    enhancer = named.select(F.col("s_name").alias("gene_name"), name.alias("disease_name"))
     return relations_of(databases.diseases(gene_disease, variants, edges, terms, enhancer))
 
 

@@ -87,24 +87,24 @@ def left_cascade_join(t: Tables) -> DataFrame:
 
 @register(
     "with r as (select l_partkey, l_suppkey, count(*) as n_returned from lineitem where l_returnflag = 'R' group by all), "
-    "a as (select l_partkey, l_suppkey, count(*) as n_accepted from lineitem where l_returnflag = 'A' group by all) "
-    "select l_partkey, l_suppkey, n_returned, n_accepted from r full join a using (l_partkey, l_suppkey)"
+    "a as (select l_partkey, l_suppkey, count(*) as n_kept from lineitem where l_returnflag <> 'R' group by all) "
+    "select l_partkey, l_suppkey, n_returned, n_kept from r full join a using (l_partkey, l_suppkey)"
 )
 def full_outer_two_key(t: Tables) -> DataFrame:
-    def counted(flag: str, out: str) -> DataFrame:
-        rows = t.lineitem.where(F.col("l_returnflag") == flag)
+    def counted(returned: bool, out: str) -> DataFrame:
+        rows = t.lineitem.where((F.col("l_returnflag") == "R") == returned)
         return rows.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias(out))
 
-    return full_join([counted("R", "n_returned"), counted("A", "n_accepted")], ["l_partkey", "l_suppkey"])
+    return full_join([counted(True, "n_returned"), counted(False, "n_kept")], ["l_partkey", "l_suppkey"])
 
 
 @register(
-    "select l_orderkey, l_linenumber from lineitem n where l_returnflag = 'N' and not exists (select 1 from lineitem o "
+    "select l_orderkey, l_linenumber from lineitem n where l_returnflag <> 'R' and not exists (select 1 from lineitem o "
     "where o.l_returnflag = 'R' and o.l_partkey = n.l_partkey and o.l_suppkey = n.l_suppkey)"
 )
 def left_anti_two_key(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
-    new, old = rows.where("l_returnflag = 'N'"), rows.where("l_returnflag = 'R'")
+    new, old = rows.where("l_returnflag <> 'R'"), rows.where("l_returnflag = 'R'")
     return new_rows(new, old, ["l_partkey", "l_suppkey"]).select("l_orderkey", "l_linenumber")
 
 
