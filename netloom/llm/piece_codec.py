@@ -36,6 +36,31 @@ _REMEMBERED = 1 << 19
 _NEVER = -math.inf
 
 
+class _Memo(dict):
+    """Ids (as the bytes of 32-bit integers) of the stretches seen of late; ``scores`` has their scores.
+
+    Two generations are kept: what is asked for again moves on to the younger one when the older is dropped.
+    """
+
+    def __init__(self, pieces: Pieces):
+        super().__init__()
+        self.pieces, self.scores, self.older = pieces, {}, ({}, {})
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.older[0].get(text)
+        if ids is None:
+            scores, steps = self.pieces.best(text, 0, len(text))
+            ids, score = np.array(self.pieces.trace(text, steps, 0, len(text)), dtype=np.int32).tobytes(), scores[-1]
+        else:
+            score = self.older[1][text]
+        if len(self) >= _REMEMBERED:
+            self.older = dict(self), self.scores
+            self.clear()
+            self.scores = {}
+        self[text], self.scores[text] = ids, score
+        return ids
+
+
 @dataclass
 class Pieces:
     """A vocabulary: trie of the pieces, their scores, and the byte pieces."""
@@ -48,10 +73,12 @@ class Pieces:
     longest: int = field(init=False)
     unknown: float = field(init=False)
     splits: bool = field(init=False)
-    remembered: dict = field(init=False)
+    memo: _Memo = field(init=False)
+    stretch: re.Pattern = field(init=False)
 
     def __post_init__(self):
-        self.trie, self.remembered = {}, {}
+        self.trie, self.memo = {}, _Memo(self)
+        self.stretch = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+\\Z")
         for i, (text, score) in enumerate(zip(self.texts, self.scores)):
             if score is None:
                 continue
@@ -66,34 +93,34 @@ class Pieces:
 
     # --- one stretch ---------------------------------------------------------------------------
 
-    def edges(self, text: str, at: int) -> Iterator[tuple[int, float, int]]:
-        """(length, score, id) of the pieces that begin at ``at``; id -1 is a character that is no piece."""
-        node, end, single = self.trie, at, False
-        while end < len(text):
-            node = node.get(text[end])
-            if node is None:
-                break
-            end += 1
-            found = node.get("")
-            if found:
-                single |= end == at + 1
-                yield end - at, found[1], found[0]
-        if not single:
-            yield 1, self.unknown, -1
-
     def best(self, text: str, start: int, stop: int) -> tuple[list[float], list[tuple[int, int] | None]]:
-        """Best scores and last steps from ``start`` to every place up to the end of ``text``; pieces begin before ``stop``."""
-        scores: list[float] = [_NEVER] * (len(text) + 1)
-        steps: list[tuple[int, int] | None] = [None] * (len(text) + 1)
+        """Best scores and last steps (place, id) from ``start`` to every place up to the end; pieces begin before ``stop``.
+
+        A character that is no piece is a step of id -1. Of equal scores the first found stays.
+        """
+        size, trie, unknown = len(text), self.trie, self.unknown
+        scores: list[float] = [_NEVER] * (size + 1)
+        steps: list[tuple[int, int] | None] = [None] * (size + 1)
         scores[start] = 0.0
         for at in range(start, stop):
             here = scores[at]
             if here == _NEVER:
                 continue
-            for length, score, i in self.edges(text, at):
-                if here + score > scores[at + length]:
-                    scores[at + length] = here + score
-                    steps[at + length] = (at, i)
+            node, end, single = trie, at, False
+            while end < size:
+                node = node.get(text[end])
+                if node is None:
+                    break
+                end += 1
+                found = node.get("")
+                if found:
+                    if end == at + 1:
+                        single = True
+                    score = here + found[1]
+                    if score > scores[end]:
+                        scores[end], steps[end] = score, (at, found[0])
+            if not single and here + unknown > scores[at + 1]:
+                scores[at + 1], steps[at + 1] = here + unknown, (at, -1)
         return scores, steps
 
     def trace(self, text: str, steps: list, start: int, end: int) -> list[int]:
@@ -108,22 +135,11 @@ class Pieces:
         out.reverse()
         return out
 
-    def stretch(self, text: str) -> tuple[float, list[int]]:
-        """Score and ids of a stretch whose borders no piece crosses."""
-        found = self.remembered.get(text)
-        if found is None:
-            scores, steps = self.best(text, 0, len(text))
-            found = scores[-1], self.trace(text, steps, 0, len(text))
-            if len(text) <= 64:
-                if len(self.remembered) >= _REMEMBERED:
-                    self.remembered.clear()
-                self.remembered[text] = found
-        return found
-
     def stretches(self, text: str) -> list[str]:
+        """The text cut where no piece crosses."""
         if not self.splits:
             return [text] if text else []
-        return re.findall(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+\\Z", text)
+        return self.stretch.findall(text)
 
     def cuts(self, text: str, least: int, most: int) -> tuple[int, int] | None:
         """The first and the last place in [least, most] that no piece crosses."""
@@ -141,13 +157,16 @@ class Pieces:
 
     # --- one chunk -----------------------------------------------------------------------------
 
-    def inner(self, text: str) -> tuple[float, list[int]]:
-        total, ids = 0.0, []
+    def inner(self, text: str) -> bytes:
+        """Ids of a text whose borders no piece crosses."""
+        return b"".join(map(self.memo.__getitem__, self.stretches(text)))
+
+    def inner_score(self, text: str) -> float:
+        total = 0.0
         for part in self.stretches(text):
-            score, own = self.stretch(part)
-            total += score
-            ids.extend(own)
-        return total, ids
+            self.memo[part]  # noqa: B018 - works the stretch out if need be
+            total += self.memo.scores[part]
+        return total
 
     def transfer(self, text: str, length: int) -> np.ndarray:
         """Scores from entry state s (so many characters of the chunk are taken) to exit state t (so many behind it are).
@@ -164,7 +183,7 @@ class Pieces:
                 out[s, : exits + 1] = scores[length : length + exits + 1]
             return out
         first, last = cut
-        middle, _ = self.inner(text[first:last])
+        middle = self.inner_score(text[first:last])
         tail, _ = self.best(text[last:], 0, length - last)
         after = np.array(tail[length - last : length - last + exits + 1])
         for s in range(min(states, first + 1)):
@@ -172,38 +191,49 @@ class Pieces:
             out[s, : exits + 1] = scores[first] + middle + after
         return out
 
-    def traced(self, text: str, length: int, entry: int, leave: int) -> list[int]:
+    def traced(self, text: str, length: int, entry: int, leave: int) -> bytes:
         """Ids of the pieces that begin in the chunk, from its entry state to its exit state."""
         end = length + leave
         cut = self.cuts(text, min(self.longest, length), length)
         if cut is None or entry > cut[0]:
             _, steps = self.best(text, entry, length)
-            return self.trace(text, steps, entry, end)
+            return np.array(self.trace(text, steps, entry, end), dtype=np.int32).tobytes()
         first, last = cut
         _, steps = self.best(text[:first], entry, first)
-        out = self.trace(text, steps, entry, first)
-        out.extend(self.inner(text[first:last])[1])
+        head = self.trace(text, steps, entry, first)
         _, steps = self.best(text[last:], 0, length - last)
-        out.extend(self.trace(text[last:], steps, 0, end - last))
-        return out
+        tail = self.trace(text[last:], steps, 0, end - last)
+        return b"".join([np.array(head, dtype=np.int32).tobytes(), self.inner(text[first:last]), np.array(tail, dtype=np.int32).tobytes()])
 
     def marked(self, text: str) -> str:
         """The text as it is segmented: a space in front, and spaces as marks."""
         return ((" " if self.dummy_prefix and text else "") + text).replace(" ", SPACE_MARK)
 
-    def encode(self, text: str) -> list[int]:
-        return self.inner(self.marked(text))[1]
-
-    def decode(self, ids: list[int]) -> str:
-        """The text of the ids, without the space put in front."""
-        table = self.__dict__.get("table")
-        if table is None:
-            table = [t.replace(SPACE_MARK, " ").encode() for t in self.texts]
-            for value, i in enumerate(self.byte_ids):
-                table[i] = bytes([value])
-            self.__dict__["table"] = table
-        text = b"".join([table[i] for i in ids]).decode("utf-8", "replace")
-        return text[1:] if self.dummy_prefix and text.startswith(" ") else text
+    def encode(self, text: str) -> bytes:
+        """Ids of a text's best segmentation."""
+        return self.inner(self.marked(text))
+
+    def decode(self, ids: pa.ListArray) -> pa.Array:
+        """Texts of a column of ids, without the space put in front; null ids are an empty text."""
+        table = [t.replace(SPACE_MARK, " ").encode() for t in self.texts]
+        for value, i in enumerate(self.byte_ids):
+            table[i] = bytes([value])
+        at = ids.offsets.to_numpy()
+        spelt = pa.array(table, pa.large_binary()).take(ids.values.slice(at[0], at[-1] - at[0]))
+        # The spelt pieces lie one after the other, so a row's text is one stretch of their bytes.
+        places = np.frombuffer(spelt.buffers()[1], dtype=np.int64)[spelt.offset : spelt.offset + len(spelt) + 1]
+        data = memoryview(spelt.buffers()[2]) if len(spelt) and spelt.buffers()[2] is not None else b""
+        out = []
+        for first, stop in zip(places[at[:-1] - at[0]].tolist(), places[at[1:] - at[0]].tolist()):
+            text = bytes(data[first:stop]).decode("utf-8", "replace")
+            out.append(text[1:] if self.dummy_prefix and text.startswith(" ") else text)
+        return pa.array(out, pa.string())
+
+
+def id_lists(rows: list[bytes]) -> pa.ListArray:
+    """A column of id lists from the bytes of their 32-bit integers."""
+    at = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(rows), dtype=np.int32)))
 
 
 def load(path: str = MODEL, scores: str = "ranks") -> Pieces:
@@ -288,8 +318,8 @@ def _traced(pieces):
         vocabulary = pieces.value
         for batch in batches:
             rows = zip(*(batch.column(n).to_pylist() for n in range(2, 6)))
-            ids = [vocabulary.traced(*row) for row in rows]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["rid", "nth", "ids"])
+            ids = id_lists([vocabulary.traced(*row) for row in rows])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], names=["rid", "nth", "ids"])
 
     return run
 
@@ -298,7 +328,7 @@ def _encoded(pieces):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces.value
         for batch in batches:
-            ids = pa.array([vocabulary.encode(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
+            ids = id_lists([vocabulary.encode(t) for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["id", "ids"])
 
     return run
@@ -372,8 +402,8 @@ def decode(encoded: DataFrame, model: str = MODEL, keep: tuple[str, ...] = ("doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces.value
         for batch in batches:
-            texts = [vocabulary.decode(ids or []) for ids in batch.column(batch.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*batch.schema.names[:-1], "text"])
+            texts = vocabulary.decode(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=[*batch.schema.names[:-1], "text"])
 
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("text", T.StringType())])
     return rows.mapInArrow(run, schema).toDF(*keep, "text")
