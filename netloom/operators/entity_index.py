@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from netloom.functions.ids import ID_PREFIX, entity_id
-from netloom.operators.joins import spread_join
 from netloom.operators.setops import union_all
 from netloom.session import materialize
 
@@ -95,9 +94,7 @@ def _memberships(rows: DataFrame, n_sources: int) -> DataFrame:
         if lead < n_sources - 1:
             followers = free.where(F.col("src") > lead)
             attached = (
-                spread_join(
-                    leaders.select("alias", F.col("id").alias("lead_id")).distinct(), followers, ["alias"]
-                )
+                leaders.select("alias", F.col("id").alias("lead_id")).distinct().join(followers, "alias")
                 .select("src", "id", F.lit(lead).alias("lead_src"), "lead_id")
                 .distinct()
             )
@@ -142,11 +139,9 @@ def build_index(type_name: str, sources: Sequence[DataFrame], prefix: str = ID_P
         "TYPE", F.lit(type_name)
     )
     known = rows.where(F.col("alias").isNotNull()).select("src", "id", "alias")
-    # With one source an id has one entity; with several it can have many, and many aliases.
-    expand = spread_join if len(sources) > 1 else DataFrame.join
     return EntityIndex(
         type_name,
-        expand(known, named, ["src", "id"]).select(*keys, "alias").distinct(),
+        known.join(named, ["src", "id"]).select(*keys, "alias").distinct(),
         named.select(*keys, F.col("id").alias("SOURCE_ID")).distinct(),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from netloom.functions.text import missing_to_null, same_text
-from netloom.operators.joins import full_join, join_dimension, left_cascade, members, translate_ends
+from netloom.operators.joins import full_join, left_cascade, members, translate_ends
 from netloom.operators.setops import (
     new_rows, swap_ends, symmetrize, union_all, union_distinct, unpivot_references,
 )
@@ -110,9 +110,9 @@ def left_anti_two_key(t: Tables) -> DataFrame:
 
 @register("select l_orderkey, l_linenumber, s_name from lineitem join supplier on l_suppkey = s_suppkey")
 def broadcast_dim(t: Tables) -> DataFrame:
-    """Lookup join; the lookup is broadcast only when it is measured to be small."""
+    """Lookup join; adaptive execution broadcasts the lookup when it turns out small."""
     lookup = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    return join_dimension(t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey"), lookup, ["l_suppkey"]).drop("l_suppkey")
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey").join(lookup, "l_suppkey").drop("l_suppkey")
 
 
 @register(

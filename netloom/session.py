@@ -118,13 +118,3 @@ class Stages:
 
     def close(self) -> None:
         self.drop(*list(self.paths))
-
-
-def fill_cores(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table of few files over all cores, before work that is heavy per row.
-
-    A table with at least as many files as cores is returned as it is: its scan is parallel already, and
-    shuffling whole texts would cost more than it gains.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df

@@ -4,46 +4,16 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from netloom.operators import incremental
-from netloom.operators.joins import full_join, join_dimension, small_enough, spread_join
+from netloom.operators.joins import full_join
 from netloom.operators.setops import new_rows, swap_ends, symmetrize, union_all, unpivot_references
 from netloom.operators.windows import forward_fill, number_batches, scale_by_group_max, top_n
 from netloom.session import materialize, shared_folder
 
 
-@pytest.mark.parametrize("cell", [3, 10, 100_000])
-def test_spread_join_equals_plain_join(spark, rows, cell):
-    """One key holds a third of the rows on both sides; small cells force the grid."""
-    rng = random.Random(cell)
-    left = [(0 if i % 3 == 0 else rng.randrange(1, 15), i) for i in range(90)] + [(None, 500)]
-    right = [(0 if i % 3 == 0 else rng.randrange(1, 15), i) for i in range(60)] + [(None, 600)]
-    a = spark.createDataFrame(left, "k bigint, a bigint")
-    b = spark.createDataFrame(right, "k bigint, b bigint")
-    assert rows(spread_join(a, b, ["k"], cell), "k", "a", "b") == rows(a.join(b, "k"), "k", "a", "b")
-
-
-def test_spread_join_cuts_the_hot_key(spark):
-    a = spark.range(100).selectExpr("0 as k", "id as a")
-    b = spark.range(50).selectExpr("0 as k", "id as b")
-    plan = spread_join(a, b, ["k"], 10)._jdf.queryExecution().optimizedPlan().toString()
-    assert "_i" in plan and spread_join(a, b, ["k"], 10).count() == 5000
-    plain = spread_join(a, b, ["k"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "_i#" not in plain
-
-
-def test_spread_join_on_two_keys(spark, rows):
-    a = spark.createDataFrame([("x", 1, i) for i in range(8)] + [("y", 1, 9)], "s string, k int, a int")
-    b = spark.createDataFrame([("x", 1, i) for i in range(5)] + [("y", 2, 9)], "s string, k int, b int")
-    assert spread_join(a, b, ["s", "k"], 2).count() == 40
-
-
-def test_dimension_is_broadcast_only_when_small(spark):
-    fact, dim = spark.range(1000).withColumnRenamed("id", "k"), spark.range(50).withColumnRenamed("id", "k")
-    assert small_enough(dim) and not small_enough(dim, max_rows=10) and not small_enough(dim, max_bytes=10)
-    small = join_dimension(fact, dim, ["k"])
-    large = join_dimension(fact, dim, ["k"], max_rows=10)
-    assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in large._jdf.queryExecution().analyzed().toString()
-    assert small.count() == large.count() == 50
+def test_sessions_split_hot_keys(spark):
+    """Joins are plain; that a hot key is cut on both sides is left to adaptive execution, which must be on."""
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        assert spark.conf.get(key) == "true"
 
 
 def test_full_join_coalesces_keys(spark, rows):

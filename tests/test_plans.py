@@ -37,4 +37,4 @@ def test_scans_read_only_the_needed_columns(spark):
 
 def test_filters_reach_the_scan(spark):
     plan = plan_of(all_queries()["left_anti_two_key"](spark, FOLDER))
-    assert "EqualTo(l_returnflag,N)" in plan and "EqualTo(l_returnflag,R)" in plan
+    assert "Not(EqualTo(l_returnflag,R))" in plan and " EqualTo(l_returnflag,R)" in plan
