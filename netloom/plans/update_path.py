@@ -16,7 +16,8 @@ from netloom.sources.spec import read_table, write_table
 def update_scores(spark: SparkSession, cfg: JobConfig, batch: DataFrame, run: str) -> dict[str, DataFrame]:
     """Merge a batch of filtered annotations (pmid, wiki_id, spot, rho, title) into the state of ``cfg.run``.
 
-    Annotations, surface forms, pair counts and evidence are merged from the delta; relatedness is added for unseen pairs.
+    Annotations, surface forms, pair counts and evidence are merged from the delta and the stored annotations of the documents
+    it touches; relatedness is added for unseen pairs. The batch is taken to be small: the history is scanned, not shuffled.
     """
     apply_settings(spark)
     target = replace(cfg, run=run)
@@ -28,14 +29,19 @@ def update_scores(spark: SparkSession, cfg: JobConfig, batch: DataFrame, run: st
         return read_table(spark, write_table(df, target.table(name)))
 
     history = old("annotations")
-    delta = materialize(incremental.new_annotations(batch, history), "delta")
+    delta = materialize(incremental.new_annotations(batch, history, batch_is_small=True), "delta")
     annotations = store("annotations", union_all([history, delta]))
-    delta_counts = scoring.stored_counts(delta, "distinct")
-    delta_freq = scoring.pair_freq(scoring.pair_table(scoring.stored_profiles(delta_counts), cfg.block))
-    freq = store("pair_freq", incremental.add_pair_counts(old("pair_freq"), delta_freq))
+    touched = materialize(incremental.touched_documents(history, delta), "touched")
+
+    def freq_of(counts: DataFrame) -> DataFrame:
+        return scoring.pair_freq(scoring.pair_table(scoring.stored_profiles(counts), cfg.block))
+
+    after = scoring.stored_counts(union_all([touched, delta]), "distinct")
+    changes = incremental.pair_changes(freq_of(scoring.stored_counts(touched, "distinct")), freq_of(after))
+    freq = store("pair_freq", incremental.add_pair_counts(old("pair_freq"), changes))
     forms = old("surface_forms")
-    new_forms = incremental.new_surface_forms(scoring.surface_forms(delta), forms)
-    evidence = scoring.pair_evidence(delta_counts, cfg.evidence, cfg.block)
+    new_forms = incremental.new_surface_forms(scoring.surface_forms(delta), forms, delta_is_small=True)
+    evidence = scoring.pair_evidence(after, cfg.evidence, cfg.block)
     counts = store("counts", scoring.mention_counts(annotations, cfg.weight))
     profiles = store("profiles", scoring.weighted_profiles(counts))
     pairs = store("pairs", scoring.pair_table(profiles, cfg.block))
@@ -50,7 +56,7 @@ def update_scores(spark: SparkSession, cfg: JobConfig, batch: DataFrame, run: st
         "pair_freq": freq,
         "surface_forms": store("surface_forms", union_all([forms, new_forms])),
         "pair_evidence": store(
-            "pair_evidence", incremental.add_evidence(old("pair_evidence"), evidence, cfg.evidence)
+            "pair_evidence", incremental.add_evidence(old("pair_evidence"), evidence, cfg.evidence, delta_is_small=True)
         ),
         "relatedness": store("relatedness", union_all([scored, scoring.relatedness(unseen, n_docs)])),
         "w_matrix": store("w_matrix", scoring.dt_hybrid(profiles, pairs, cfg.alpha)),

@@ -173,6 +173,38 @@ def incremental_evidence(t: Tables) -> DataFrame:
     return incremental.add_evidence(old, new, TOP)
 
 
+def by_line(t: Tables, entities: str = "parts") -> tuple[DataFrame, DataFrame]:
+    """Old and new (pmid, wiki_id) split inside the orders: the first two lines are stored, the others arrive."""
+    part = F.col("l_partkey") if entities == "parts" else F.col("p_brand")
+    lines = t.lineitem.join(t.part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = lines.select(F.col("l_orderkey").alias("pmid"), part.alias("wiki_id"), "l_linenumber")
+    old = rows.where("l_linenumber <= 2").select("pmid", "wiki_id").distinct()
+    return old, incremental.new_annotations(rows.where("l_linenumber > 2").select("pmid", "wiki_id").distinct(), old)
+
+
+@register(f"with {pair_ctes(PARTS_SQL)} select wid1, wid2, cast(freq as bigint) as freq from freq")
+def incremental_pair_update(t: Tables) -> DataFrame:
+    """Orders that gain parts: the stored counts and the changes of the touched orders are the counts of all lines."""
+    old, new = (materialize(df, "lines") for df in by_line(t))
+    touched = incremental.touched_documents(old, new)
+    changes = incremental.pair_changes(pair_counts(touched), pair_counts(touched.unionByName(new)))
+    return incremental.add_pair_counts(pair_counts(old), changes)
+
+
+@register(
+    f"with d as (select distinct pmid, wid from ({BRANDS_SQL}) a), "
+    "pairs as (select a.wid as wid1, b.wid as wid2, a.pmid from d a join d b on a.pmid = b.pmid and a.wid < b.wid) "
+    "select wid1, wid2, pmid from (select *, row_number() over (partition by wid1, wid2 order by pmid desc) as rn "
+    f"from pairs) where rn <= {TOP}"
+)
+def incremental_evidence_update(t: Tables) -> DataFrame:
+    """Evidence of the stored lines merged with that of the orders that gain lines."""
+    old, new = (materialize(df, "lines") for df in by_line(t, "brands"))
+    after = incremental.touched_documents(old, new).unionByName(new)
+    stored, fresh = (scoring.pair_evidence(scoring.stored_counts(df, "distinct"), TOP) for df in (old, after))
+    return incremental.add_evidence(stored, fresh, TOP)
+
+
 EVENTS_SPLIT = "2024-01-08"
 
 

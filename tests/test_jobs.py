@@ -149,12 +149,13 @@ def test_exports(spark, job):
 def test_update_equals_a_full_run(spark, job, rows):
     cfg, annotations, *_ = job
     batch = spark.createDataFrame(
-        [(9, 1, "ptgs1", 0.25, "PTGS1"), (9, 4, "cyp", 0.25, "CYP"), (1, 1, "again", 0.25, "PTGS1")],
+        # The last one gives a stored document another entity.
+        [(9, 1, "ptgs1", 0.25, "PTGS1"), (9, 4, "cyp", 0.25, "CYP"), (1, 1, "again", 0.25, "PTGS1"), (1, 44, "new", 0.25, "NEW")],
         "pmid bigint, wiki_id bigint, spot string, rho double, title string",
     )
     updated = update_path.update_scores(spark, cfg, batch, run="2")
     full = score_path.build_scores(spark, JobConfig(root=cfg.root + "-full", top=5), updated["annotations"])
-    assert updated["annotations"].count() == annotations.count() + 2
+    assert updated["annotations"].count() == annotations.count() + 3
     for name in ("pair_freq", "pair_evidence", "surface_forms"):
         assert rows(updated[name], *full[name].columns) == rows(full[name]), name
     rounded = F.round("w_norm", 9)
