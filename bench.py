@@ -25,9 +25,12 @@ HEADLINE = (
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    # Intermediate tables of this single-machine run.
+    stages = os.environ.get("BENCH_STAGES", f"{Path.cwd()}/spark-warehouse/bench-stages")
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__driver__memory="16g", spark__sql__session__timeZone="UTC",
+        spark__checkpoint__dir=stages,
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()

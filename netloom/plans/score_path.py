@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from netloom.config import JobConfig
 from netloom.operators import scoring
 from netloom.operators.annotate import annotate, document_text, filter_categories
-from netloom.session import apply_settings
+from netloom.session import apply_settings, releases_stages
 from netloom.sources.spec import read_table, write_table
 
 
+@releases_stages
 def build_annotations(
     spark: SparkSession, cfg: JobConfig, documents: DataFrame, dictionary: DataFrame, categories: DataFrame
 ) -> DataFrame:
@@ -24,6 +25,7 @@ def build_annotations(
     return read_table(spark, path)
 
 
+@releases_stages
 def build_scores(spark: SparkSession, cfg: JobConfig, annotations: DataFrame) -> dict[str, DataFrame]:
     """Counts, pairs, projection, relatedness, evidence, surface forms and the prediction table."""
     apply_settings(spark)

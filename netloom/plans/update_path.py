@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from netloom.config import JobConfig
 from netloom.operators import incremental, scoring
 from netloom.operators.setops import union_all
-from netloom.session import apply_settings, materialize
+from netloom.session import apply_settings, materialize, releases_stages
 from netloom.sources.spec import read_table, write_table
 
 
+@releases_stages
 def update_scores(spark: SparkSession, cfg: JobConfig, batch: DataFrame, run: str) -> dict[str, DataFrame]:
     """Merge a batch of filtered annotations (pmid, wiki_id, spot, rho, title) into the state of ``cfg.run``.
 

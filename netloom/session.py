@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +79,25 @@ def delete_now(spark: SparkSession, path: str) -> None:
     system.delete(hadoop_path, True)
 
 
+# Folders written by ``materialize`` and not deleted yet.
+_written: list[str] = []
+
+
+def releases_stages(job: Callable) -> Callable:
+    """A job whose results are stored tables: what it has materialised on the way is deleted when it ends."""
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        mark = len(_written)
+        try:
+            return job(spark, *args, **kwargs)
+        finally:
+            for path in _written[mark:]:
+                delete_now(spark, path)
+            del _written[mark:]
+
+    return run
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -86,6 +107,7 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     delete_at_exit(df.sparkSession, path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -99,6 +99,17 @@ def job(spark, tmp_path_factory):
     return cfg, annotations, scores, entities, tables, exported
 
 
+def test_jobs_leave_no_stages(spark, job):
+    """What a job materialises is gone when its tables are stored; exports are read later and go at exit."""
+    from netloom import session
+
+    cfg, annotations, *_ = job
+    before = list(session._written)
+    score_path.build_scores(spark, JobConfig(root=cfg.root + "-again", top=5), annotations)
+    knowledge_path.build_entities(spark, JobConfig(root=cfg.root + "-again", sources=cfg.sources), ["enzyme", "drug"])
+    assert session._written == before
+
+
 def test_annotations_and_scores(job, rows):
     _, annotations, scores, *_ = job
     assert rows(annotations.select("pmid", "wiki_id").distinct()) == [

@@ -25,9 +25,11 @@ def rows_of(columns, rows):
 
 
 def main(folder: str, names: list[str]) -> int:
+    stages = f"{Path.cwd()}/spark-warehouse/compare-stages"
     spark = build_session(
         "compare", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
         spark__driver__memory="16g", spark__ui__showConsoleProgress="false", spark__sql__session__timeZone="UTC",
+        spark__checkpoint__dir=stages,
     )
     spark.sparkContext.setLogLevel("ERROR")
     db = duckdb.connect()
