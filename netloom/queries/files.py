@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from netloom.operators import textjobs
-from netloom.queries.entities import text
+from netloom.plans import databases
+from netloom.queries.entities import relations_of, text
 from netloom.queries.registry import Registry, Tables
-from netloom.session import delete_at_exit, delete_now, new_path
+from netloom.queries.sqltext import same_type_relation, typed_relation, with_ctes
+from netloom.session import delete_at_exit, delete_now, materialize, new_path
 from netloom.sources import catalog
 from netloom.sources.spec import (
     SourceSpec, fields, read_csv, read_json, read_lines, read_positional, read_source, read_stanzas, read_table,
@@ -318,6 +320,35 @@ def nested_polypeptides(t: Tables) -> DataFrame:
     return own.join(synonyms.unionByName(references), ["component", "part"])
 
 
+DRUG_CTES = [
+    "rec as (select 'DB' || p_partkey as id, p_name as name, p_partkey as k, p_type, p_brand, p_size from part)",
+    "ph as (select 'PA' || s_suppkey as id, s_name as name, 'DB' || s_suppkey as ref from supplier)",
+    "pairs as (select ref as l, id as r from ph union all select id, null from rec where id not in (select ref from ph))",
+    "ids as (select l, r, 'KN_DRUG:' || md5(coalesce(l, '') || '|' || coalesce(r, '')) as idx from pairs)",
+    "named as (select idx, l as id, name from ids join rec on l = rec.id union select idx, r, name from ids join ph on r = ph.id)",
+    "i_source as (select distinct idx, min(name) over (partition by idx) as name, id from named)",
+    "tg as (select rec.*, n, 'target:BE' || n || '-' || k as ref from rec, (select unnest([1, 2]) as n) where n = 1 or p_size > 25)",
+]
+
+
+@register(with_ctes(DRUG_CTES, " union ".join([
+    same_type_relation(
+        "i", "select id as id1, 'DB' || (k + n) as id2 from rec, (select unnest([1, 2]) as n) where p_size > 10", "drug"
+    ),
+    typed_relation("i", "select id, 't' || n || ' ' || p_type as name2, ref as reference from tg", "drug-target"),
+    typed_relation("i", "select id, p_brand as name2, '' as reference from tg", "drug-gene"),
+])))
+def drug_database(t: Tables) -> DataFrame:
+    """Parts as XML records and suppliers as a table with quoted lists, which names its counterpart among the records."""
+    pharma = t.supplier.select(
+        text("PA{}", "s_suppkey").alias("PGKB_ID"), F.col("s_name").alias("DRUG_NAME"),
+        text('"generic {}", "{}"', "s_suppkey", "s_name").alias("Generic_Name"), F.lit(None).cast("string").alias("Trade_Names"),
+        text('"{}"', "s_name").alias("Brand_Mixtures"), text('"DrugBank:DB{}", "Web:x"', "s_suppkey").alias("Cross_references"),
+        F.lit("Drug").alias("Type"),
+    )
+    return relations_of(databases.drugs(materialize(drug_records(t), "drugs"), pharma))
+
+
 # --- streaming ------------------------------------------------------------------------------------
 
 
