@@ -85,14 +85,17 @@ def next_keys(rows: DataFrame, stages: Stages) -> DataFrame:
     ).select("key", "n_chars", F.coalesce("next", "after").alias("next_key"))
 
 
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, key) of every row of ``docs``; the key tells (id, text) apart."""
+    rows = docs.select(column(docs, id_col).alias("id"), whole_text(docs, text_col).alias("text"))
+    name = F.concat(F.coalesce(F.col("id").cast("string"), F.lit("-")), F.lit(":"), "text")
+    return rows.select("id", "text", F.sha2(name, 256).alias("key"))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``id_col``, key, text, n_chars, signatures) of every row of ``docs``; the key tells (id, text) apart."""
-    text = whole_text(docs, text_col)
-    rows = docs.select(column(docs, id_col).alias("id"), text.alias("text"))
-    return rows.select(
-        F.col("id").alias(id_col), F.sha2(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("-")), F.lit(":"), "text"), 256).alias("key"),
-        "text", F.char_length("text").cast("long").alias("n_chars"), signatures(F.col("text")).alias("signatures"),
-    )
+    """(``id_col``, text, signatures) of every row of ``docs``."""
+    rows = keyed_texts(docs, id_col, text_col)
+    return rows.select(F.col("id").alias(id_col), "text", signatures(F.col("text")).alias("signatures"))
 
 
 def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,34 +106,30 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     count as empty. A single document is its own next. An empty table gives an empty result; other columns are not read.
     """
     stages = Stages(docs.sparkSession, "spots")
-    text = whole_text(docs, text_col)
-    light = docs.select(column(docs, id_col).alias("id"), text.alias("text")).select(
-        "id", F.sha2(F.concat(F.coalesce(F.col("id").cast("string"), F.lit("-")), F.lit(":"), "text"), 256).alias("key"),
-        F.char_length("text").cast("long").alias("n_chars"),
+    light = stages.store(
+        "keys", keyed_texts(docs, id_col, text_col).select("id", "key", F.char_length("text").cast("long").alias("n_chars"))
     )
-    light = stages.store("keys", light)
     distinct = light.distinct()
     repeated = light.count() > distinct.count()
     following = stages.store("next", next_keys(distinct, stages))
     stages.drop("keys", "order")
 
-    rows = fingerprints(docs, id_col, text_col)
+    # Both joins below shuffle the same rows by the same key, which Spark does once.
+    rows = keyed_texts(docs, id_col, text_col)
     sources = rows.dropDuplicates(["key"]) if repeated else rows
-    heads = sources.select(F.col("key").alias("next_key"), "text", F.col("signatures").alias("next_signatures")).join(
-        following, "next_key"
-    ).select(
-        "key", F.left("text", F.floor(F.col("n_chars") / 3).cast("int")).alias("head"), "next_signatures"
-    )
-    both = rows.join(heads, "key").withColumn(
-        "edited", F.concat(F.left("text", (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")), "head")
+    heads = sources.join(following.withColumnRenamed("key", "own_key"), F.col("key") == F.col("next_key")).select(
+        F.col("own_key").alias("own"), F.col("id").alias("next_id"),
+        F.left("text", F.floor(F.col("n_chars") / 3).cast("int")).alias("head"), signatures(F.col("text")).alias("next_signatures"),
     )
-    both = both.select(
-        id_col, "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "signatures", "next_signatures",
-        signatures(F.col("edited")).alias("edited_signatures"),
+    length = F.char_length("text")
+    both = rows.join(heads, F.col("key") == F.col("own")).select(
+        "id", "next_id", length.cast("long").alias("n_chars"), "next_signatures", signatures(F.col("text")).alias("signatures"),
+        F.concat(F.left("text", (length - F.floor(length / 3)).cast("int")), "head").alias("edited"),
     )
+    both = both.withColumn("edited_signatures", signatures(F.col("edited")))
     return both.select(
-        id_col, "n_chars", "edited_sha256", as_string(F.col("signatures")).alias("fingerprint"),
-        as_string(F.col("edited_signatures")).alias("edited_fingerprint"),
+        F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        as_string(F.col("signatures")).alias("fingerprint"), as_string(F.col("edited_signatures")).alias("edited_fingerprint"),
         likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
-        likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"),
+        likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"), "next_id",
     )
