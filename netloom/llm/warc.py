@@ -198,6 +198,7 @@ def normalise_archives(spark: SparkSession, raw: str, archives: str, index: str,
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(raw).select("path", "content")
     done = stages.store("normalised", files.mapInArrow(_normalised, f"archive string, content binary, entries {_ENTRY}"))
+    stages.drop("raw")
     done.select("archive", F.col("content").cast("string").alias("value")).write.partitionBy("archive").options(
         lineSep="\0", maxRecordsPerFile=1
     ).text(archives)
@@ -268,7 +269,7 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     stages.drop("facts", "leaders")
     normalise_archives(spark, raw, archives, index, stages)
     found = stages.store("read", read_archives(spark, archives, index))
-    stages.drop("raw", "archives", "index")
+    stages.drop("archives", "index")
     own_id = lambda c: F.nullif(F.regexp_extract(c, "<urn:page:(.*)>", 1), F.lit("")).cast(kind)
     return found.select(
         own_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
