@@ -1,7 +1,8 @@
 """Document fingerprints from spot signatures, and the likeness of documents by them.
 
 A spot is a common word (the anchor). Its signature is the anchor with the chain of the next content words behind it, other common
-words left out. A document's fingerprint is its set of signatures as sorted 64-bit hashes. The likeness of two
+words left out. A long stretch of words without an anchor has its runs of words as signatures, whatever else is in the text, so a stretch
+that two texts share has the same signatures in both. A document's fingerprint is its set of signatures as sorted 64-bit hashes. The likeness of two
 fingerprints is their Jaccard coefficient; where only likenesses of at least some bound count, it is pruned by the sets' lengths.
 """
 
@@ -20,12 +21,15 @@ ANCHORS = (
     "como con del el es la las lo los no para por se su una y"
 ).split()
 CHAIN = 2
+# Words in a row without an anchor from which on a stretch has signatures of its own.
+STRETCH = 32
 
 
 def signatures(text: Column) -> Column:
     """Sorted distinct hashes of a text's spot signatures.
 
-    A text without anchors before content words has its runs of words as signatures instead, a text without words the text itself.
+    A stretch of at least ``STRETCH`` words without an anchor adds the runs of words inside it. A shorter text without anchors before
+    content words has all its runs of words as signatures, a text without words the text itself.
     """
     words = F.split(F.regexp_replace(F.lower(text), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""), r"[^\p{L}\p{N}]+")
 
@@ -40,7 +44,23 @@ def signatures(text: Column) -> Column:
                     at - before > 1, F.transform(F.sequence(before + 1, at - 1), lambda a: F.xxhash64(F.get(w, a), *chain))
                 )
 
-            return F.flatten(F.filter(F.transform(p, spots), lambda x: x.isNotNull()))
+            # The n-th content word and the STRETCH - 1 behind it, none left out between, are in a long stretch, and so are their runs.
+            def long_from(n: Column) -> Column:
+                return F.coalesce(F.get(p, n + STRETCH - 1) - F.get(p, n) == STRETCH - 1, F.lit(False))
+
+            def stretches(at: Column, n: Column) -> Column:
+                first = F.when(n == 0, F.lit(True)).otherwise(~long_from(n - 1))
+                length = F.when(first, F.lit(STRETCH - CHAIN)).otherwise(F.lit(1))
+                return F.when(long_from(n), F.transform(
+                    F.sequence(at + STRETCH - CHAIN - length, at + STRETCH - CHAIN - 1),
+                    lambda a: F.xxhash64(*[F.get(w, a + k) for k in range(CHAIN + 1)]),
+                ))
+
+            def known(parts: Column) -> Column:
+                return F.flatten(F.filter(parts, lambda x: x.isNotNull()))
+
+            # Without spots all runs are taken, and those of the long stretches are among them.
+            return let(known(F.transform(p, spots)), lambda s: F.when(F.size(s) > 0, F.concat(s, known(F.transform(p, stretches)))).otherwise(s))
 
         runs = F.transform(w, lambda x, n: F.xxhash64(x, *[F.get(w, n + k) for k in range(1, CHAIN + 1)]))
         return let(places, of_places), runs

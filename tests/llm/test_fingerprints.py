@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from netloom.llm.fingerprints import ANCHORS, CHAIN, edit_report, fingerprints
+from netloom.llm.fingerprints import ANCHORS, CHAIN, STRETCH, edit_report, fingerprints
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -64,3 +64,28 @@ def test_the_set_of_a_text(documents):
 def test_empty_and_single(documents):
     assert edit_report(documents([])).count() == 0
     assert edit_report(documents([(4, "the cat sat on the mat")])).first().near_next == 1
+
+
+def content(n, first=0):
+    return " ".join(f"w{k}" for k in range(first, first + n))
+
+
+def test_an_anchor_does_not_switch_the_rest_of_a_text(documents):
+    plain, other = content(100), content(30, 500)
+    texts = [plain, content(50) + " the " + content(50, 50), "the " + other + " of " + plain, plain + " the end", plain.replace("w50", "and")]
+    pairs = list(enumerate(texts))
+    sets = {r.doc_id: set(r.signatures) for r in fingerprints(documents(pairs)).collect()}
+    runs = 100 - CHAIN
+    assert len(sets[0]) == runs + CHAIN  # with the shorter runs at the end, as before
+    assert len(sets[0] & sets[1]) == runs - CHAIN and len(sets[1]) == runs - CHAIN + 1
+    assert len(sets[0] & sets[2]) == runs and len(sets[2]) == runs + 2
+    assert len(sets[0] & sets[3]) == runs and len(sets[3]) == runs + 1
+    assert len(sets[0] & sets[4]) == 48 + 47
+    edited = edit_report(documents([(2, content(90) + " " + content(60, 300)), (1, "the " + other + " of the day " * 60)])).collect()
+    assert next(r for r in edited if r.doc_id == 2).near_edited > 0.3
+
+
+@pytest.mark.parametrize("n", [STRETCH - 1, STRETCH, STRETCH + 1, 3 * STRETCH])
+def test_a_stretch_between_anchors(documents, n):
+    (row,) = fingerprints(documents([(1, "of " + content(n) + " the " + content(5, 900))])).collect()
+    assert len(row.signatures) == 2 + (n - CHAIN if n >= STRETCH else 0)
