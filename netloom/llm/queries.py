@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netloom.llm import chat_format, exact_dedup, fingerprints, ngram_join, packing, piece_codec, sharding, token_counts, toxicity, warc
+from netloom.llm import chat_format, exact_dedup, fingerprints, ngram_join, packing, piece_codec, sharding, token_counts, toxicity, vector_codes, warc
 from netloom.queries.registry import Registry
 
 QUERIES = Registry()
@@ -95,3 +95,47 @@ def op9_chat_format(t):
 @QUERIES.register()
 def op10_packing(t):
     return packing.pack_documents(t.documents, capacity=2048)
+
+
+def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Rounds of assigning and averaging, one component a row."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(
+            f"""
+    d{n} AS MATERIALIZED (
+        SELECT x.vec_id, x.p, b.entry, sum((x.v - b.v) * (x.v - b.v)) AS far
+        FROM x JOIN b{n} b ON b.p = x.p AND b.i = x.i GROUP BY ALL),
+    a{n} AS MATERIALIZED (SELECT vec_id, p, min(far) AS far, arg_min(entry, (far, entry)) AS entry FROM d{n} GROUP BY ALL)"""
+        )
+        if n < rounds:
+            steps.append(
+                f"""
+    m{n} AS (SELECT x.p, a.entry, x.i, sum(x.v) AS s, count(*) AS c FROM x JOIN a{n} a USING (vec_id, p) GROUP BY ALL),
+    b{n + 1} AS MATERIALIZED (
+        SELECT b.p, b.entry, b.i, CASE WHEN c IS NULL THEN b.v ELSE (s - ((s % c) + c) % c) // c END::BIGINT AS v
+        FROM b{n} b LEFT JOIN m{n} m USING (p, entry, i))"""
+            )
+    return f"""
+    WITH k AS (SELECT vec_id, label, embedding FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+    x AS MATERIALIZED (
+        SELECT vec_id, (i - 1) // (len(embedding) // 4) AS p, (i - 1) % (len(embedding) // 4) AS i,
+               floor(1024 * embedding[i]::DOUBLE)::BIGINT AS v
+        FROM k, unnest(range(1, len(embedding) + 1)) AS t(i)),
+    b0 AS MATERIALIZED (
+        SELECT p, entry, i, v FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k
+                                           QUALIFY entry < 256) USING (vec_id)),{",".join(steps)},
+    e AS (SELECT vec_id, string_agg(lower(printf('%02x', entry)), '' ORDER BY p) AS code, sum(far)::BIGINT AS error FROM a{rounds} GROUP BY vec_id),
+    t AS (SELECT label, sum(error)::BIGINT AS label_error FROM e JOIN k USING (vec_id) GROUP BY label)
+    SELECT e.vec_id, code, error, label_error,
+           (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY p, entry, i)) FROM b{rounds}) AS codebooks_sha256
+    FROM e JOIN k USING (vec_id) JOIN t ON t.label IS NOT DISTINCT FROM k.label
+    """
+
+
+@QUERIES.register(_codes_sql())
+def op12_vector_codes(t):
+    found, books = vector_codes.compress_vectors(t.embeddings)
+    digest = None if books is None else books.digest()
+    return found.withColumn("codebooks_sha256", F.lit(digest).cast("string"))
