@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netloom.llm import chat_format, exact_dedup, fingerprints, ngram_join, packing, piece_codec, sharding, token_counts, toxicity, vector_codes, warc
+from netloom.llm import chat_format, conversation_trie, exact_dedup, fingerprints, ngram_join, packing, piece_codec, sharding, token_counts, toxicity, vector_codes, warc
 from netloom.queries.registry import Registry
+from netloom.session import Stages
 
 QUERIES = Registry()
 
@@ -139,3 +140,43 @@ def op12_vector_codes(t):
     found, books = vector_codes.compress_vectors(t.embeddings)
     digest = None if books is None else books.digest()
     return found.withColumn("codebooks_sha256", F.lit(digest).cast("string"))
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit."""
+    byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda n: ascii(substr({text}, n, 1))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+@QUERIES.register(
+    f"""
+    WITH n AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                      row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS nth
+               FROM conversations WHERE conv_id IS NOT NULL),
+    c AS MATERIALIZED (SELECT conv_id, {crc32_sql("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM n)),
+    r AS (SELECT c.conv_id, nth, role, text FROM c JOIN n ON n.conv_id = c.conv_id - c.conv_id % 100 AND nth <= h
+          UNION ALL SELECT c.conv_id, nth, role, text FROM c JOIN n USING (conv_id) WHERE nth > h),
+    s AS (SELECT conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY nth) FILTER (nth IS NOT NULL), []) AS turns
+          FROM c LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+    p AS (SELECT conv_id, d, turns[1:d] AS path, d = len(turns) AS ends FROM s, unnest(range(0, len(turns) + 1)) AS t(d)),
+    v AS MATERIALIZED (
+        SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+               CASE WHEN d = 0 THEN 0 ELSE length(any_value(path)[d].text) END AS chars
+        FROM p GROUP BY path, d),
+    k AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY ALL),
+    u AS (SELECT v.path[1:a] AS path, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens, count(*) FILTER (k.path IS NULL) AS n_leaves
+          FROM v LEFT JOIN k USING (path), unnest(range(0, depth + 1)) AS t(a) GROUP BY 1)
+    SELECT v.conv_id, v.depth, CASE WHEN v.depth > 0 THEN o.conv_id END AS parent_conv_id, v.n_convs, coalesce(n_children, 0) AS n_children,
+           n_leaves, saved_tokens, v.ends_sha256
+    FROM v LEFT JOIN k USING (path) JOIN u USING (path) LEFT JOIN v o ON o.path = v.path[1:v.depth - 1] AND o.depth = v.depth - 1
+    """
+)
+def op13_conversation_trie(t):
+    stages = Stages(t.spark, "trie")
+    turns = conversation_trie.encode_turns(t.conversations, stages)
+    conv = F.col("conv").cast("long")
+    shared = F.crc32(conv.cast("string")) % 6
+    rebuilt = conversation_trie.graft(turns.withColumn("conv", conv), conv - conv % 100, shared, most=5)
+    return conversation_trie.trie_nodes(rebuilt, stages)
