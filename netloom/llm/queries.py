@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from netloom.llm import chat_format, conversation_trie, exact_dedup, fingerprints, ngram_join, packing, piece_codec, sharding, token_counts, toxicity, vector_codes, warc
+from netloom.llm import (
+    chat_format, conversation_trie, exact_dedup, fingerprints, language_mixture, ngram_join, packing, piece_codec, sharding, token_counts,
+    toxicity, vector_codes, warc,
+)
 from netloom.queries.registry import Registry
 from netloom.session import Stages
 
@@ -98,6 +101,15 @@ def op10_packing(t):
     return packing.pack_documents(t.documents, capacity=2048)
 
 
+@QUERIES.register()
+def op11_language_id(t):
+    known = language_mixture.learn(t.documents)
+    return language_mixture.identify(t.documents, known).select(
+        "doc_id", F.coalesce(~language_mixture.training_side(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score",
+        "languages",
+    )
+
+
 def _codes_sql(rounds: int = vector_codes.ROUNDS) -> str:
     """Rounds of assigning and averaging, one component a row."""
     steps = []
