@@ -3,28 +3,30 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netloom.functions.parsing import (
-    attribute, fasta_fields, first_value, insert_tuples, quoted_text, stanza_values, tuple_fields,
+    attribute, fasta_fields, first_value, insert_columns, insert_tuples, quoted_text, stanza_values, tuple_values,
 )
 from netloom.functions.text import proteins_of_species, quoted_items
+from netloom.sources.spec import ChildTable
 
 # Column types of the dump's data definition language by family, and the Spark types that hold all their values.
 WHOLE = {"tinyint": "smallint", "smallint": "int", "mediumint": "int", "int": "int", "integer": "int", "bigint": "bigint"}
 BROKEN = ("decimal", "dec", "numeric", "fixed", "float", "double", "real")
 MOMENTS = {"date": "date", "datetime": "timestamp", "timestamp": "timestamp"}
 # Unsigned numbers may need the next wider type.
-WIDER = {"smallint": "int", "int": "bigint", "bigint": "decimal(20,0)"}
+WIDER = {"int": "bigint", "bigint": "decimal(20,0)"}
 
 
 def spark_type(declared: str) -> str:
     """Spark type of a declared column such as ``bigint(20) unsigned NOT NULL``; what is no number or moment is text."""
     word = re.match(r"\s*([a-z]*)", declared.lower())[1]
     if word in WHOLE:
-        return WIDER[WHOLE[word]] if "unsigned" in declared.lower() and word == "bigint" else WHOLE[word]
+        # The families below ``int`` have a type with room to spare already.
+        return WIDER.get(WHOLE[word], WHOLE[word]) if "unsigned" in declared.lower() and word in ("int", "integer", "bigint") else WHOLE[word]
     if word in ("bool", "boolean"):
         return "smallint"
     return "double" if word in BROKEN else MOMENTS.get(word, "string")
@@ -77,31 +79,36 @@ def dump_schema(lines: DataFrame, table: str | None = None) -> list[tuple[str, s
 
 
 def dump_rows(lines: DataFrame, schema: Sequence[tuple[str, str]], table: str | None = None) -> DataFrame:
-    """Typed rows of the INSERT statements of a dump; rows whose first field is not a number are dropped.
+    """Typed rows of the INSERT statements of a dump, one statement a line; rows whose first value is not a number are dropped.
 
-    The last column holds quoted text, which may contain commas.
+    Values go to the columns that the statement lists, or else to those of ``schema`` by their place. NULL and missing values, and values that do not
+    fit their column's type, are null.
     """
-    n = len(schema)
-    inserts = lines.where(F.col("value").contains("INSERT INTO" if table is None else f"INSERT INTO `{table}`"))
-    values = inserts.select(F.explode(insert_tuples(F.col("value"))).alias("_v")).select(tuple_fields(F.col("_v"), n).alias("_f"))
-    kept = values.where(F.get("_f", F.lit(0)).try_cast("decimal(38,0)").isNotNull())
+    value = F.col("value")
+    named = "[^`]+" if table is None else re.escape(table)
+    inserts = lines.where(value.rlike(rf"(?i)^\s*INSERT(?:\s+IGNORE)?\s+INTO\s+`{named}`"))
+    rows = inserts.select(insert_columns(value).alias("_c"), F.explode(insert_tuples(value)).alias("_v"))
+    cells = rows.select("_c", tuple_values(F.col("_v")).alias("_f"))
 
-    def cell(i: int, kind: str):
-        field = F.get("_f", F.lit(i))
-        return (F.trim(F.replace(field, F.lit("'"), F.lit(""))) if kind in MOMENTS.values() else field).try_cast(kind)
+    def cell(i: int) -> Column:
+        name, kind = schema[i]
+        listed = F.get("_f", F.nullif(F.array_position("_c", name), F.lit(0)).cast("int") - 1)
+        field = F.when(F.size("_c") == 0, F.get("_f", F.lit(i))).otherwise(listed)
+        return field.try_cast(kind).alias(name)
 
-    return kept.select(*[cell(i, kind).alias(name) for i, (name, kind) in enumerate(schema)])
+    typed = cells.where(F.get("_f", F.lit(0)).try_cast("decimal(38,0)").isNotNull())
+    return typed.select(*[cell(i) for i in range(len(schema))])
 
 
 def sentences_to_documents(
-    sentences: DataFrame, title: str = "'ti'", abstract: str = "'ab'"
+    sentences: DataFrame, title: str = "ti", abstract: str = "ab"
 ) -> DataFrame:
-    """(PMID, Title, Abstract) from sentence rows (PMID, TYPE, NUMBER, SENTENCE), sentences in NUMBER order.
+    """(PMID, Title, Abstract) from sentence rows (PMID, TYPE, NUMBER, SENTENCE), sentences in NUMBER order, null ones left out.
 
     One shuffle; a cell holds the sentences of one document.
     """
     def text(kind: str):
-        part = F.collect_list(F.when(F.col("TYPE") == kind, F.struct("NUMBER", "SENTENCE")))
+        part = F.collect_list(F.when((F.col("TYPE") == kind) & F.col("SENTENCE").isNotNull(), F.struct("NUMBER", "SENTENCE")))
         ordered = F.transform(F.sort_array(part), lambda x: x["SENTENCE"])
         return F.when(F.size(part) > 0, F.array_join(ordered, " "))
 
@@ -109,7 +116,7 @@ def sentences_to_documents(
         sentences.select("PMID", "TYPE", "NUMBER", "SENTENCE")
         .groupBy("PMID")
         .agg(text(title).alias("Title"), text(abstract).alias("Abstract"))
-        .withColumn("PMID", F.replace(F.col("PMID").cast("string"), F.lit("'"), F.lit("")).try_cast("bigint"))
+        .withColumn("PMID", F.col("PMID").cast("string").try_cast("bigint"))
     )
 
 
@@ -274,19 +281,11 @@ def plain_text(markup: Column) -> Column:
     return F.regexp_replace(markup, r"</?(?:i|b|u|sub|sup|sc|em|strong|mml:[a-z]+)(?:\s[^<>]*)?/?>", "")
 
 
-def flatten_children(
-    records: DataFrame, keys: dict[str, str], path: str, values: Sequence[str]
-) -> DataFrame:
-    """One row per child struct below ``path``, with the record's keys and the child's values, distinct.
-
-    Records without children are dropped. Value columns are named ``<child>_<value>``.
-    """
-    child = path.split(".")[1].replace("-", "_")
-    quoted = ".".join(f"`{p}`" for p in path.split("."))
-    rows = records.selectExpr(*[f"{e} as {n}" for n, e in keys.items()], f"explode({quoted}) as _child")
-    return rows.selectExpr(
-        *keys, *[f"_child.`{v}` as {child}_{v.replace('-', '_')}" for v in values]
-    ).distinct()
+def child_rows(records: DataFrame, keys: Mapping[str, str], table: ChildTable) -> DataFrame:
+    """(keys, columns of ``table``): one distinct row per child; records without children have none."""
+    children = F.expr(".".join(f"`{name}`" for name in table.path.split(".")))
+    found = records.select(*[F.expr(source).alias(key) for key, source in keys.items()], F.explode(children).alias("child"))
+    return found.select(*keys, *[F.col("child").getField(field).alias(name) for name, field in table.columns.items()]).distinct()
 
 
 def component_parts(records: DataFrame, keys: dict[str, str], path: str, organism: str = "Humans") -> DataFrame:

@@ -118,35 +118,46 @@ DUMP_HEADER = (
 )
 
 
-def dump_lines(t: Tables, odd: bool) -> DataFrame:
-    """Half of the conversations as a SQL dump: a statement per turn, a tuple per line of text."""
+ODD_TEXT = "it's a 'quote'),(1,'2"
+
+
+def dump_parts(t: Tables) -> list[str]:
+    """The conversations as a SQL dump: the definition of the table beside data files, a statement per turn and a tuple per line of text.
+
+    Empty lines are NULL, every fifth conversation lists its columns in another order, and its lines end in a text that looks like SQL.
+    """
     kind = F.when(F.col("role") == "user", "ti").otherwise("ab")
+    listed = F.pmod("conv_id", F.lit(5)) == 0
+
+    def written(line: Column) -> Column:
+        whole = F.when(listed, F.concat(line, F.lit(ODD_TEXT))).otherwise(line)
+        escaped = F.replace(F.replace(whole, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("''"))
+        return F.when(whole == "", F.lit("NULL")).otherwise(F.concat(F.lit("'"), escaped, F.lit("'")))
 
     def as_tuple(line: Column, i: Column) -> Column:
-        number = F.col("turn") * 1000000 + i
-        return F.concat(
-            F.lit("("), number, F.lit(",'"), F.col("conv_id"), F.lit("','"), kind, F.lit("',"), number, F.lit(",'"), line,
-            F.lit("')"),
-        )
+        number = F.lit(3000000000) + F.col("turn") * 1000000 + i
+        values = [number.cast("string"), F.concat(F.lit("'"), "conv_id", F.lit("'")), F.concat(F.lit("'"), kind, F.lit("'")), number.cast("string"), written(line)]
+        other = [*values[:1], *values[:0:-1]]
+        return F.concat(F.lit("("), F.when(listed, F.concat_ws(",", *other)).otherwise(F.concat_ws(",", *values)), F.lit(")"))
 
     tuples = F.array_join(F.transform(F.split("text", "\n"), as_tuple), ",")
-    data = t.conversations.where((F.pmod("conv_id", F.lit(2)) == 1) == odd).select(F.concat(F.lit("INSERT INTO `SENTENCE` VALUES "), tuples, F.lit(";")).alias("value"))
-    # The data definition of the dump precedes the rows derived from the table.
-    quoted = ", ".join(f"'{line}'" for line in DUMP_HEADER)
-    return t.spark.sql(f"select explode(array({quoted})) as value").unionByName(data)
+    columns = F.when(listed, " (`SENTENCE_ID`, `SENTENCE`, `NUMBER`, `TYPE`, `PMID`)").otherwise("")
+    data = t.conversations.select(F.concat(F.lit("INSERT INTO `SENTENCE`"), columns, F.lit(" VALUES "), tuples, F.lit(";")).alias("value"))
+    definition = t.spark.createDataFrame([(line,) for line in DUMP_HEADER], "value string").coalesce(1)
+    return [put_text(t, definition, "dump-definition"), put_text(t, data, "dump-data")]
 
 
 @register(
-    "with s as (select conv_id, role, turn * 1000000 + i as n, replace(line, ',', ', ') || '.' as line from (select conv_id, role, "
+    "with s as (select conv_id, role, turn * 1000000 + i as n, nullif(line || case when conv_id % 5 = 0 then "
+    f"""'{ODD_TEXT.replace("'", "''")}' else '' end, '') as line from (select conv_id, role, """
     "turn, unnest(generate_series(0, len(l) - 1)) as i, unnest(l) as line from (select conv_id, role, turn, "
     "string_split(text, chr(10)) as l from conversations) c) q) "
     "select conv_id as pmid, string_agg(case when role = 'user' then line end, ' ' order by n) as title, "
     "string_agg(case when role <> 'user' then line end, ' ' order by n) as abstract from s group by all"
 )
 def sql_dump_sentences(t: Tables) -> DataFrame:
-    """A dump in two parts, each with the definition of the table."""
-    parts = [put_text(t, dump_lines(t, odd).coalesce(1), "dump") for odd in (False, True)]
-    lines = read_lines(t.spark, parts)
+    """A dump whose definition and data are files of their own, with nulls, quotes and numbers beyond 31 bits."""
+    lines = read_lines(t.spark, dump_parts(t))
     rows = textjobs.dump_rows(lines, textjobs.dump_schema(lines, "SENTENCE"), "SENTENCE")
     found = textjobs.sentences_to_documents(rows)
     return found.toDF(*[c.lower() for c in found.columns])
@@ -246,7 +257,9 @@ def xml_articles(t: Tables) -> DataFrame:
     )).unionByName(t.nation.select(record(
         -1 - F.col("n_nationkey"), F.concat("n_name", F.lit(' <i class="x">in vivo</i>')), F.lit("")
     )))
-    found = textjobs.articles(read_xml(t.spark, put_text(t, written, "articles"), "PubmedArticle", textjobs.ARTICLE_SCHEMA))
+    # An article record holds no other one.
+    records = read_xml(t.spark, put_text(t, written, "articles"), "PubmedArticle", textjobs.ARTICLE_SCHEMA, nests=False)
+    found = textjobs.articles(records)
     return found.select(F.col("PMID").alias("pmid"), F.md5("Title").alias("title"), F.md5("Abstract").alias("abstract"))
 
 
@@ -275,6 +288,10 @@ def drug_records(t: Tables) -> DataFrame:
             organism.alias("organism"), F.array(polypeptide).alias("polypeptide"),
         )
 
+    def pathway(number: int) -> Column:
+        inner = F.struct(F.array(F.struct(F.concat(F.lit("DB"), key + number).alias("_VALUE"))).alias("drugbank-id"), F.lit("inner").alias("name"))
+        return F.struct(F.lit(f"w{number}").alias("name"), F.struct(F.array(inner, inner).alias("drug")).alias("drugs"))
+
     organism = F.when(size > 25, "Humans").otherwise("Yeast")
     interactions = F.array(
         F.struct(F.concat(F.lit("DB"), key + 1).alias("drugbank-id"), F.col("p_name").alias("name")),
@@ -286,23 +303,24 @@ def drug_records(t: Tables) -> DataFrame:
         F.struct(F.array(*[F.struct(c.alias("_VALUE"), F.lit("en").alias("_language")) for c in (brand, kind)]).alias("synonym")).alias("synonyms"),
         F.when(size > 10, F.struct(interactions.alias("drug-interaction"))).alias("drug-interactions"),
         F.struct(F.array(target(1, F.lit("Humans")), target(2, organism)).alias("target")).alias("targets"),
+        # Drugs inside a drug: what they hold belongs to no record.
+        F.when(size > 5, F.struct(F.array(pathway(1), pathway(2)).alias("pathway"))).alias("pathways"),
     )
     return read_xml(t.spark, xml_file(t, records, "drugs", "drugbank", "drug"), catalog.DRUG_XML_ROW, catalog.DRUG_XML_SCHEMA)
 
 
-@register("select distinct 'DB' || p_partkey as drug_id, p_name as drug_name, unnest([p_brand, p_type]) as synonym__value from part")
+@register("select distinct 'DB' || p_partkey as drug_id, p_name as drug_name, unnest([p_brand, p_type]) as other_name from part")
 def nested_flatten(t: Tables) -> DataFrame:
-    found = textjobs.flatten_children(drug_records(t), DRUG_KEYS, *catalog.DRUG_SYNONYMS)
-    return found.withColumnRenamed("synonym__VALUE", "synonym__value")
+    return textjobs.child_rows(drug_records(t), DRUG_KEYS, catalog.DRUG_SYNONYMS)
 
 
 @register(
-    "select distinct 'DB' || p_partkey as drug_id, p_name as drug_name, 'DB' || (p_partkey + n) as drug_interaction_drugbank_id, "
-    "p_name as drug_interaction_name from part, (select unnest([1, 2]) as n) k where p_size > 10"
+    "select distinct 'DB' || p_partkey as drug_id, p_name as drug_name, 'DB' || (p_partkey + n) as partner_id, "
+    "p_name as partner_name from part, (select unnest([1, 2]) as n) k where p_size > 10"
 )
 def nested_flatten_optional(t: Tables) -> DataFrame:
-    """Records without children are dropped."""
-    return textjobs.flatten_children(drug_records(t), DRUG_KEYS, *catalog.DRUG_INTERACTIONS)
+    """Records without children have no rows."""
+    return textjobs.child_rows(drug_records(t), DRUG_KEYS, catalog.DRUG_INTERACTIONS)
 
 
 @register(

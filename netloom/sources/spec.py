@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from netloom.sources.xml import from_start_tag, record_texts
+
 
 @dataclass(frozen=True)
 class Field:
@@ -42,6 +44,14 @@ class SourceSpec:
     header: bool = True
 
 
+@dataclass(frozen=True)
+class ChildTable:
+    """A list of child elements of a record as a table: where the list is, and which field of a child each column takes."""
+
+    path: str
+    columns: Mapping[str, str]
+
+
 def fields(*items: tuple) -> tuple[Field, ...]:
     """Fields from (raw, name), (raw, name, "lower") or (raw, name, type)."""
     made = []
@@ -123,20 +133,26 @@ def read_stanzas(spark: SparkSession, path: str | Sequence[str], separator: str)
     )
 
 
-def read_xml(spark: SparkSession, path: str | Sequence[str], row_tag: str, schema: StructType | str | None = None) -> DataFrame:
-    """One row per element ``row_tag``; attributes are ``_name``, mixed text is ``_VALUE``.
+def read_xml(
+    spark: SparkSession, path: str | Sequence[str], row_tag: str, schema: StructType | str | None = None, nests: bool = True,
+    mode: str = "FAILFAST",
+) -> DataFrame:
+    """One row per outermost element ``row_tag``; attributes are ``_name``, mixed text is ``_VALUE``.
 
-    With a schema the end tag is the record delimiter of a text scan, so a large file is split among tasks; then no element inside
-    ``row_tag`` may have the same name. Without one the files are read whole to find the schema.
+    With a schema a large file is split among tasks at end tags. ``nests=False`` promises that no element inside
+    ``row_tag`` has the same name; records are then cut without counting depths, in one pass. A record that does not parse is an
+    error; with ``mode="PERMISSIVE"`` it is a row of nulls. Without a schema the files are read whole to find the schema.
     """
     if schema is None:
         return spark.read.format("xml").option("rowTag", row_tag).load(path)
-    records = spark.read.option("lineSep", f"</{row_tag}>").text(path)
-    body = F.regexp_extract("value", rf"(?s)<{row_tag}(?=[\s>]).*$", 0)
-    parsed = records.select(body.alias("_x")).where("_x <> ''").select(
-        F.from_xml(F.concat("_x", F.lit(f"</{row_tag}>")), schema, {"rowTag": row_tag}).alias("_x")
-    )
-    return parsed.select("_x.*")
+    if nests:
+        records = record_texts(spark, path, row_tag)
+    else:
+        chunks = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+        records = chunks.select(from_start_tag(F.col("value"), row_tag).alias("value")).where("value <> ''").select(
+            F.concat("value", F.lit(f"</{row_tag}>")).alias("value")
+        )
+    return records.select(F.from_xml("value", schema, {"rowTag": row_tag, "mode": mode}).alias("_x")).select("_x.*")
 
 
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: StructType | str) -> DataFrame:

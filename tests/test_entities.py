@@ -4,7 +4,6 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from netloom.operators import entity_index
 from netloom.operators.entity_index import EntityIndex, build_index, build_index_by_xref
 from netloom.operators.relations import Far, consolidate, reference_rows, same_type_relations, typed_relations
 from netloom.plans import databases
@@ -68,12 +67,9 @@ def test_equal_ids_of_two_sources_stay_apart(spark):
     assert contents(index) == [("a", ("x",), ("1",)), ("b", ("y",), ("1",))]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("cell", [2, 100_000])
-def test_random_index_equals_brute_force(spark, monkeypatch, seed, cell):
-    """With small cells the frequent alias is joined as a grid."""
-    plain = entity_index.spread_join
-    monkeypatch.setattr(entity_index, "spread_join", lambda a, b, on: plain(a, b, on, cell))
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_random_index_equals_brute_force(spark, seed):
+    """One alias is much more frequent than the others."""
     rng = random.Random(seed)
 
     def some(tag, n):

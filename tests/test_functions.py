@@ -1,9 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from netloom.functions import text as fn
 from netloom.functions.ids import entity_id, entity_type, row_id
-from netloom.functions.parsing import attribute, fasta_fields, insert_tuples, tuple_fields
+from netloom.functions.parsing import attribute, fasta_fields, insert_columns, insert_tuples, tuple_values, unescaped
 
 
 @pytest.fixture
@@ -91,13 +93,45 @@ def test_fasta_fields(apply):
     assert apply(lambda c: fasta_fields(c)["variant"], ">NM_4.1 Homo sapiens x (Y), mRNA") == [None]
 
 
+STATEMENTS = [
+    ("INSERT INTO `S` VALUES (1,'7','ti',2,'One, two'),(2,'7','ab',1,'Three');", [["1", "7", "ti", "2", "One, two"], ["2", "7", "ab", "1", "Three"]]),
+    ("INSERT INTO `S` VALUES (5,'9','ti',1,NULL),(6, null ,'NULL',-1.5e3);", [["5", "9", "ti", "1", None], ["6", None, "NULL", "-1.5e3"]]),
+    (r"INSERT INTO `S` VALUES (1,'It''s'),(2,'\'p\''),(3,'a\\'),(4,'\\\'x');", [["1", "It's"], ["2", "'p'"], ["3", "a\\"], ["4", "\\'x"]]),
+    ("INSERT INTO `S` VALUES (1,'a'),(2,'b (c''),(d'),(3,'e;');", [["1", "a"], ["2", "b (c'),(d"], ["3", "e;"]]),
+    (r"INSERT INTO `S` VALUES (1,'x\ny\tz\0\Z\%\\n',0x1F,_binary 'q');", [["1", "x\ny\tz\0\x1a%\\n", "0x1F", "_binary 'q'"]]),
+    ("insert ignore into `S` (`b`, `a`) values ('', POINT(1,2)) , ('''''', 2) ;", [["", "POINT(1,2)"], ["''", "2"]]),
+    ("INSERT INTO `S` VALUES ();", []),
+]
+
+
 def test_insert_statements(apply):
-    statement = "INSERT INTO `S` VALUES (1,'7','ti',2,'One, two'),(2,'7','ab',1,'Three');"
-    values = apply(insert_tuples, statement)[0]
-    assert values == ["1,'7','ti',2,'One, two", "2,'7','ab',1,'Three"]
-    assert apply(lambda c: tuple_fields(c, 5), *values) == [
-        ["1", "'7'", "'ti'", "2", "One,  two."], ["2", "'7'", "'ab'", "1", "Three."],
-    ]
+    for statement, want in STATEMENTS:
+        assert apply(lambda c: F.transform(insert_tuples(c), tuple_values), statement) == [want], statement
+    assert apply(insert_columns, "INSERT INTO `S` (`b`, `a`) VALUES (1,2);", STATEMENTS[0][0]) == [["b", "a"], []]
+
+
+def test_random_values_survive_a_dump(apply):
+    """Values written as a database writes them come back, quotes, brackets and long texts included."""
+    rng = random.Random(3)
+    escape = {"\\": "\\\\", "\n": "\\n", "\r": "\\r", "\0": "\\0", "\x1a": "\\Z"}
+
+    def written(value):
+        if value is None:
+            return "NULL"
+        quote = rng.choice(["''", "\\'"])
+        return "'" + "".join(escape.get(c, quote if c == "'" else c) for c in value) + "'"
+
+    def some():
+        return rng.choice([None, "".join(rng.choice("ab'\\(),;`\"\n\r\0\x1a %é") for _ in range(rng.choice([0, 3, 30])))])
+
+    wanted = []
+    for _ in range(40):
+        rows = [[some() for _ in range(rng.randint(1, 4))] for _ in range(rng.randint(1, 5))]
+        rows[0][0] = "'),(\\" * rng.choice([1, 20_000])
+        wanted.append(rows)
+    statements = ["INSERT INTO `T` VALUES " + ",".join(f"({','.join(map(written, r))})" for r in rows) + ";" for rows in wanted]
+    assert apply(lambda c: F.transform(insert_tuples(c), tuple_values), *statements) == wanted
+    assert apply(unescaped, r"a\\'") == ["a\\'"]
 
 
 def test_ids_do_not_depend_on_partitions(spark, rows):

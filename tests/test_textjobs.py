@@ -20,7 +20,7 @@ CREATE TABLE `SENTENCE` (
 
 -- Dumping data
 INSERT INTO `SENTENCE` VALUES (2,'7','ab',2,'Second, part'),(1,'7','ab',1,'First'),(3,'7','ti',1,'Title'),(x,'8','ti',1,'bad');
-INSERT INTO `SENTENCE` VALUES (4,'9','ti',1,'Only a title');
+INSERT INTO `SENTENCE` VALUES (4,'9','ti',1,'Only a title'),(3000000000,'9','ab',1,NULL);
 """
 
 
@@ -33,11 +33,13 @@ def write(tmp_path, name, text):
 def test_sql_dump(spark, rows, tmp_path):
     lines = read_lines(spark, write(tmp_path, "sentences.sql", DUMP))
     schema = textjobs.dump_schema(lines)
-    assert schema == [("SENTENCE_ID", "int"), ("PMID", "string"), ("TYPE", "string"), ("NUMBER", "double"), ("SENTENCE", "string")]
+    assert schema == [("SENTENCE_ID", "bigint"), ("PMID", "string"), ("TYPE", "string"), ("NUMBER", "double"), ("SENTENCE", "string")]
     sentences = textjobs.dump_rows(lines, schema)
-    assert rows(sentences, "SENTENCE_ID", "SENTENCE") == [(1, "First."), (2, "Second,  part."), (3, "Title."), (4, "Only a title.")]
+    assert rows(sentences, "SENTENCE_ID", "SENTENCE") == [
+        (1, "First"), (2, "Second, part"), (3, "Title"), (3000000000, None), (4, "Only a title"),
+    ]
     assert rows(textjobs.sentences_to_documents(sentences)) == [
-        (7, "Title.", "First. Second,  part."), (9, "Only a title.", None),
+        (7, "Title", "First Second, part"), (9, "Only a title", None),
     ]
 
 
@@ -51,24 +53,37 @@ def test_dump_of_several_files_and_types(spark, rows, tmp_path):
     assert schema == [("ID", "decimal(20,0)"), ("DAY", "timestamp"), ("KEYWORD", "string"), ("TXT", "string")]
     found = textjobs.dump_rows(lines, schema, "T").select("ID", F.col("DAY").cast("string"), "TXT")
     assert [(int(i), d, x) for i, d, x in rows(found)] == [
-        (18446744073709551614, "2020-01-02 03:04:05", "hello,  1."), (18446744073709551615, "2020-01-02 03:04:05", "hello,  0."),
+        (18446744073709551614, "2020-01-02 03:04:05", "hello, 1"), (18446744073709551615, "2020-01-02 03:04:05", "hello, 0"),
     ]
     with pytest.raises(ValueError, match="T and U"):
         textjobs.dump_schema(lines)
 
 
+def test_dump_with_listed_columns_and_odd_values(spark, rows, tmp_path):
+    head = "CREATE TABLE `T` (\n  `ID` int unsigned,\n  `N` smallint(5) unsigned,\n  `TXT` text,\n  `LAST` tinyint\n);\n"
+    data = (
+        "INSERT INTO `T` VALUES (1,65535,'a''),(9','1'),(2,NULL,'it\\'s',-1);\nINSERT INTO `T` (`ID`,`LAST`,`TXT`) VALUES (3,7,'x\\\\'),('y',1,'no');\n"
+        "INSERT INTO `U` VALUES (4,4,'other',4);\n"
+    )
+    lines = read_lines(spark, write(tmp_path, "t.sql", head + data))
+    found = textjobs.dump_rows(lines, textjobs.dump_schema(lines, "T"), "T")
+    assert found.dtypes == [("ID", "bigint"), ("N", "int"), ("TXT", "string"), ("LAST", "smallint")]
+    assert rows(found) == [(1, 65535, "a'),(9", 1), (2, None, "it's", -1), (3, None, "x\\", 7)]
+
+
 def test_xml_files_are_split(spark, tmp_path):
     body = "".join(f'<a><r k="{n}"><v>x {n} &amp; <i>y</i></v></r></a>\n' for n in range(4000))
     path = write(tmp_path, "big.xml", f"<all>{body}</all>")
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
     try:
-        found = read_xml(spark, path, "r", "_k bigint, v string")
-        assert found.rdd.getNumPartitions() > 3
-        got = {r._k: r.v for r in found.select("_k", textjobs.plain_text(F.col("v")).alias("v")).collect()}
+        assert read_xml(spark, path, "r", "_k bigint, v string", nests=False).rdd.getNumPartitions() > 3
+        for nests in (False, True):
+            found = read_xml(spark, path, "r", "_k bigint, v string", nests=nests)
+            got = {r._k: r.v for r in found.select("_k", textjobs.plain_text(F.col("v")).alias("v")).collect()}
+            assert got == {n: f"x {n} & y" for n in range(4000)}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert got == {n: f"x {n} & y" for n in range(4000)}
 
 
 def test_lines_keep_file_order_across_splits(spark, tmp_path):
