@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netloom.operators.scoring import mention_counts
-from netloom.operators.setops import symmetrize
-from netloom.session import materialize
+from netloom.operators.setops import symmetrize, union_all
+from netloom.session import delete_at_exit, materialize, new_path
 
 WORD = r"[\p{L}\p{N}]+"
+STEP = 8  # words that a token position carries at a time
 
 
 def document_text(title: Column, abstract: Column) -> Column:
@@ -54,22 +55,78 @@ def best_senses(dictionary: DataFrame) -> DataFrame:
     return best.select("spot", "_s.*")
 
 
+def entry_prefixes(dictionary: DataFrame) -> DataFrame:
+    """(hash, words, entry, longer): every distinct prefix of an entry's words, whether it is an entry itself, and whether an
+    entry goes on behind it. A prefix goes by its hash; what is found by it is compared as text later."""
+    words = F.split("spot", " ")
+    running = F.aggregate(
+        words, F.array().cast("array<bigint>"),
+        lambda hashes, w: F.concat(hashes, F.array(F.xxhash64(F.coalesce(F.get(hashes, F.size(hashes) - 1), F.lit(0).cast("bigint")), w))),
+    )
+    each = dictionary.select(F.size(words).alias("_size"), F.posexplode(running).alias("_nth", "hash"))
+    size = F.col("_nth") + 1
+    return each.groupBy("hash", size.alias("words")).agg(F.max(size == F.col("_size")).alias("entry"), F.max(size < F.col("_size")).alias("longer"))
+
+
 def candidate_runs(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(pmid, start, words, spot): the runs of tokens that begin like an entry and are as long as one that begins so.
+    """(pmid, start, words, spot): the runs of tokens that are entries, but for hash collisions.
 
-    The dictionary is reduced to its first words and the lengths that occur after each; only token positions with such a
-    word go on, with as many tokens behind them as the longest entry has.
+    The dictionary is a trie laid out as tables, one per number of words. All token positions meet the first table; a position goes on to
+    the next one only while the words from it on are the beginning of an entry. A table is broadcast where it is small, and joined
+    otherwise. A position carries ``STEP`` words; the few that get past these fetch the next ones.
     """
-    spots = dictionary.select(F.split("spot", " ").alias("_w")).select(F.get("_w", F.lit(0)).alias("first"), F.size("_w").alias("words"))
-    heads = spots.groupBy("first").agg(F.collect_set("words").alias("lengths"))
-    longest = spots.agg(F.max("words")).first()[0] or 1
-    at = docs.select("pmid", tokens(F.col("text")).alias("_t")).select(
-        "pmid", F.posexplode(F.transform("_t", lambda w, i: F.slice("_t", i + 1, longest))).alias("start", "run")
-    )
-    found = at.withColumn("first", F.get("run", F.lit(0))).join(heads, "first")
-    return found.select("pmid", "start", "run", F.explode("lengths").alias("words")).where(
-        F.col("words") <= F.size("run")
-    ).select("pmid", "start", "words", F.array_join(F.slice("run", F.lit(1), F.col("words")), " ").alias("spot"))
+    spark = docs.sparkSession
+    path = new_path(spark, "prefixes")
+    entry_prefixes(dictionary).repartitionByRange("words", "hash").write.partitionBy("words").parquet(path)
+    delete_at_exit(spark, path)
+    schema = "hash bigint, entry boolean, longer boolean, words int"
+    trie = spark.read.schema(schema).parquet(path)
+    longest = trie.agg(F.max("words")).first()[0] or 0
+    # Looking up a document's positions takes far longer than moving its text, so documents are dealt evenly first.
+    words = docs.select("pmid", "text").repartition(F.xxhash64("pmid", "text")).select("pmid", tokens(F.col("text")).alias("_t"))
+    if longest > STEP:
+        words = materialize(words.withColumn("_doc", F.monotonically_increasing_id()), "tokens")
+    else:
+        words = words.withColumn("_doc", F.lit(None).cast("bigint"))
+    at = words.select("pmid", "_doc", F.posexplode(F.transform("_t", lambda w, i: F.slice("_t", i + 1, STEP))).alias("start", "_run"))
+    open_ = at.select("*", F.lit("").alias("_head"), F.lit(0).cast("bigint").alias("_hash"))
+    found = []
+    for base in range(0, longest, STEP):
+        steps = min(STEP, longest - base)
+        met = _descend(open_, trie, base, steps)
+        if longest > STEP:
+            met = materialize(met, "positions")
+        spot = F.concat(F.col("_head"), F.array_join(F.slice("_run", F.lit(1), F.col("_hit")), " "))
+        found.append(met.select("pmid", "start", "_head", "_run", F.explode("_hits").alias("_hit")).select(
+            "pmid", "start", (F.col("_hit") + base).alias("words"), spot.alias("spot")
+        ))
+        if base + steps == longest or met.where("_open").isEmpty():
+            break
+        # The words behind those that have been read.
+        head = F.concat(F.col("_head"), F.array_join("_run", " "), F.lit(" "))
+        open_ = met.where("_open").select("pmid", "_doc", "start", head.alias("_head"), "_hash").join(words.select("_doc", "_t"), "_doc").select(
+            "pmid", "_doc", "start", F.slice("_t", F.col("start") + base + steps + 1, STEP).alias("_run"), "_head", "_hash"
+        )
+    return union_all(found) if found else at.select("pmid", "start", F.lit(0).alias("words"), F.lit("").alias("spot")).limit(0)
+
+
+def _descend(positions: DataFrame, trie: DataFrame, base: int, steps: int) -> DataFrame:
+    """Positions that meet an entry of ``base`` + 1 to ``base`` + ``steps`` words, in ``_hits``, or a prefix of all of them, ``_open``."""
+    rows = positions.select("*", F.lit(True).alias("_open"), F.array().cast("array<int>").alias("_hits"))
+    # A position that is done meets nothing; its key is spread, so that no partition gathers them.
+    idle = F.xxhash64("pmid", "start", "_run")
+    for k in range(1, steps + 1):
+        word = F.get("_run", F.lit(k - 1))
+        step = rows.withColumn("_open", F.col("_open") & word.isNotNull()).withColumn(
+            "_hash", F.when(F.col("_open"), F.xxhash64("_hash", word)).otherwise(idle)
+        )
+        level = trie.where(F.col("words") == base + k).select(F.col("hash").alias("_hash"), "entry", "longer")
+        joined = step.join(level, "_hash", "left")
+        hit = F.col("_open") & F.coalesce("entry", F.lit(False))
+        rows = joined.withColumn("_hits", F.when(hit, F.concat("_hits", F.array(F.lit(k)))).otherwise(F.col("_hits"))).withColumn(
+            "_open", F.col("_open") & F.coalesce("longer", F.lit(False))
+        ).drop("entry", "longer").where(F.col("_open") | (F.size("_hits") > 0))
+    return rows
 
 
 def longest_matches(matches: DataFrame, key: str = "pmid") -> DataFrame:
@@ -82,7 +139,7 @@ def longest_matches(matches: DataFrame, key: str = "pmid") -> DataFrame:
     up_to = Window.partitionBy(key).orderBy("start", "words").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = F.max(F.col("start") + F.col("words")).over(before)
     stretches = (
-        matches.select(key, "start", "words").distinct()
+        matches.select(key, "start", "words")
         .withColumn("_opens", F.coalesce(F.col("start") >= reached, F.lit(True)).cast("int"))
         .withColumn("_stretch", F.sum("_opens").over(up_to))
     )
@@ -92,7 +149,7 @@ def longest_matches(matches: DataFrame, key: str = "pmid") -> DataFrame:
         clash = F.exists(kept, lambda k: (k["start"] < m["start"] + m["words"]) & (m["start"] < k["start"] + k["words"]))
         return F.when(clash, kept).otherwise(F.concat(kept, F.array(m)))
 
-    ordered = F.sort_array(F.collect_list(order))
+    ordered = F.sort_array(F.collect_set(order))
     chosen = F.aggregate(ordered, F.slice(ordered, 1, 0), settle)
     return stretches.groupBy(key, "_stretch").agg(chosen.alias("_kept")).select(key, F.explode("_kept").alias("_m")).select(
         key, "_m.start", "_m.words"

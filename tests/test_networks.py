@@ -1,10 +1,11 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from netloom.operators import export, networks
-from netloom.operators.annotate import annotate, document_text, filter_categories, longest_matches
+from netloom.operators.annotate import annotate, candidate_runs, document_text, filter_categories, longest_matches
 
 RELATION = "NAME1 string, IDX1 string, NAME2 string, IDX2 string, REFERENCE string, TYPE string"
 ALIAS = "IDX string, NAME string, TYPE string, alias string"
@@ -154,3 +155,40 @@ def test_category_filter_is_distinct(spark, rows):
     )
     categories = spark.createDataFrame([("bio",), ("med",)], "category string")
     assert rows(filter_categories(annotations, categories)) == [(1, 10, "s", 0.5, "t")]
+
+
+def brute_runs(docs, spots):
+    """Every run of tokens that is an entry, by comparing all runs."""
+    out = []
+    for pmid, text in docs:
+        words = re.findall(r"[^\W_]+", text.lower())
+        for i in range(len(words)):
+            for j in range(i + 1, len(words) + 1):
+                if " ".join(words[i:j]) in spots:
+                    out.append((pmid, i, j - i, " ".join(words[i:j])))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed, longest", [(1, 3), (2, 8), (3, 9), (4, 30)])
+def test_candidates_are_the_entries_and_nothing_else(spark, seed, longest):
+    rng = random.Random(seed)
+    docs = [(n // 2, " ".join(rng.choice("abc") for _ in range(rng.choice([0, 1, 40])))) for n in range(30)]
+    docs.append((99, "a b " * 40))
+    spots = {" ".join(rng.choice("abc") for _ in range(rng.randint(1, longest))) for _ in range(40)} | {" ".join("ab" * (longest // 2))}
+    dictionary = spark.createDataFrame([(s,) for s in spots], "spot string")
+    found = candidate_runs(spark.createDataFrame(docs, "pmid bigint, text string"), dictionary)
+    assert sorted(tuple(r) for r in found.select("pmid", "start", "words", "spot").collect()) == brute_runs(docs, spots)
+
+
+def test_one_endless_entry_costs_little(spark):
+    """The levels of a very long entry are left as soon as no position is on its way through it."""
+    docs = spark.createDataFrame([(1, "x y z " * 200), (2, "x y q")], "pmid bigint, text string")
+    dictionary = spark.createDataFrame([("x y " + "w " * 500 + "w",), ("x y",)], "spot string")
+    found = candidate_runs(docs, dictionary)
+    assert found.count() == 201 and {r.words for r in found.collect()} == {2}
+
+
+def test_nothing_to_look_up(spark):
+    docs = spark.createDataFrame([(1, "x"), (2, None), (3, "")], "pmid bigint, text string")
+    assert candidate_runs(docs, spark.createDataFrame([], "spot string")).count() == 0
+    assert candidate_runs(docs.limit(0), spark.createDataFrame([("x",)], "spot string")).count() == 0
