@@ -226,7 +226,7 @@ def unscored_pairs(pairs: DataFrame, scored: DataFrame) -> DataFrame:
     return pairs.join(scored.select("wid1", "wid2"), ["wid1", "wid2"], "left_anti")
 
 
-def _best(scores: DataFrame, score: Column, n: int) -> DataFrame:
+def best(scores: DataFrame, score: Column, n: int) -> DataFrame:
     """Best ``n`` rows per wid1; scores equal to RANK_DIGITS digits are ties, won by the smaller wid2."""
     key = F.when(score > 0, F.floor(F.ln(score) * F.lit(10.0**RANK_DIGITS) + F.lit(0.5)))
     ranked = scores.withColumn("_key", key)
@@ -242,7 +242,7 @@ def predict(w_norm: DataFrame, rel: DataFrame, freq: DataFrame, n: int = 500) ->
     evidence = symmetrize(rel.join(freq, ["wid1", "wid2"]), "wid1", "wid2")
     score = F.col("w_norm") * F.col("relatedness") * F.col("freq")
     scored = w_norm.join(evidence, ["wid1", "wid2"]).select("wid1", "wid2", score.alias("score"))
-    return _best(scored, F.col("score"), n)
+    return best(scored, F.col("score"), n)
 
 
 def predict_from_pairs(
@@ -258,7 +258,7 @@ def predict_from_pairs(
         "wid1", "wid2", (F.col("w") * F.col("evidence")).alias("raw")
     )
     return (
-        _best(raw, F.col("raw"), n)
+        best(raw, F.col("raw"), n)
         .join(_row_maxima(profiles, pairs, alpha), "wid1")
         .select("wid1", "wid2", (F.col("raw") / F.col("w_max")).alias("score"))
     )

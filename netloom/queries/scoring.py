@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from netloom.operators import incremental, networks, scoring
+from netloom.operators.projection import Projection
 from netloom.operators.windows import forward_fill, number_batches, scale_by_group_max
 from netloom.queries.registry import Registry, Tables
 from netloom.queries.sqltext import pair_ctes
-from netloom.session import materialize
+from netloom.session import delete_at_exit, materialize, new_path
 
 QUERIES = Registry()
 register = QUERIES.register
@@ -191,6 +192,20 @@ def incremental_pair_update(t: Tables) -> DataFrame:
     return incremental.add_pair_counts(pair_counts(old), changes)
 
 
+@register(f"with {pair_ctes(PARTS_SQL, 'distinct')} select wid1, wid2, round(w_norm + 1e-12, 6) as w_norm from wn")
+def incremental_projection(t: Tables) -> DataFrame:
+    """Projection state of the stored lines, followed by the lines that arrive; equals the projection of all lines."""
+    old, new = (materialize(df, "lines") for df in by_line(t))
+    root = new_path(t.spark, "projection")
+    state = Projection(root, buckets=16)
+    state.build(t.spark, scoring.stored_counts(old, "distinct"), "1")
+    touched = materialize(incremental.touched_documents(old, new), "touched")
+    before, after = (scoring.stored_counts(rows, "distinct") for rows in (touched, touched.unionByName(new)))
+    state.update(t.spark, "1", "2", before, after)
+    delete_at_exit(t.spark, root)
+    return state.weights(t.spark, "2").select("wid1", "wid2", rounded("w_norm"))
+
+
 @register(
     f"with d as (select distinct pmid, wid from ({BRANDS_SQL}) a), "
     "pairs as (select a.wid as wid1, b.wid as wid2, a.pmid from d a join d b on a.pmid = b.pmid and a.wid < b.wid) "

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from netloom.config import JobConfig
+from netloom.operators import scoring
 from netloom.operators.networks import TYPES
 from netloom.plans import knowledge_path, score_path, update_path
-from netloom.sources.spec import read_table, read_tsv
+from netloom.sources.spec import read_tsv
 from test_textjobs import DRUGS, ENZYMES, ONTOLOGY
 
 
@@ -164,13 +165,38 @@ def test_update_equals_a_full_run(spark, job, rows):
         [(9, 1, "ptgs1", 0.25, "PTGS1"), (9, 4, "cyp", 0.25, "CYP"), (1, 1, "again", 0.25, "PTGS1"), (1, 44, "new", 0.25, "NEW")],
         "pmid bigint, wiki_id bigint, spot string, rho double, title string",
     )
+    cfg = JobConfig(root=cfg.root + "-state", top=5, buckets=8)
+    started = update_path.start_state(spark, cfg, annotations)
+    plain = score_path.build_scores(spark, JobConfig(root=cfg.root + "-plain", top=5), annotations)
+    rounded, score = F.round("w_norm", 9), F.round("score", 9)
+    for name, columns in (("w_matrix", ("wid1", "wid2", rounded)), ("prediction", ("wid1", "wid2", score)), ("pair_freq", ("wid1", "wid2", "freq"))):
+        assert rows(started[name], *columns) == rows(plain[name], *columns), name
     updated = update_path.update_scores(spark, cfg, batch, run="2")
     full = score_path.build_scores(spark, JobConfig(root=cfg.root + "-full", top=5), updated["annotations"])
     assert updated["annotations"].count() == annotations.count() + 3
     for name in ("pair_freq", "pair_evidence", "surface_forms"):
         assert rows(updated[name], *full[name].columns) == rows(full[name]), name
-    rounded = F.round("w_norm", 9)
     assert rows(updated["w_matrix"], "wid1", "wid2", rounded) == rows(full["w_matrix"], "wid1", "wid2", rounded)
     assert rows(updated["relatedness"], "wid1", "wid2") == rows(full["relatedness"], "wid1", "wid2")
+    # Stored relatedness stays; with it the prediction is that of the full tables.
+    want = scoring.predict(full["w_matrix"], updated["relatedness"], full["pair_freq"], 5)
+    assert rows(updated["prediction"], "wid1", "wid2", score) == rows(want, "wid1", "wid2", score)
     # The previous run is untouched.
-    assert read_table(spark, cfg.table("pair_freq")).count() == 4
+    assert rows(update_path.ScoreState(cfg).tables(spark, "1")["pair_freq"]) == rows(plain["pair_freq"])
+
+
+def test_a_batch_of_one_document_writes_one_bucket(spark, job):
+    """One new document with one entity: one bucket of the tables that have a row for it."""
+    cfg, annotations, *_ = job
+    cfg = JobConfig(root=cfg.root + "-one", top=5, buckets=16)
+    update_path.start_state(spark, cfg, annotations)
+    batch = spark.createDataFrame([(77, 500, "s", 0.5, "T")], update_path.ANNOTATION)
+    updated = update_path.update_scores(spark, cfg, batch, run="2")
+    state = update_path.ScoreState(cfg)
+    for table in (state.annotations, state.forms, state.projection.entities, state.projection.maxima):
+        owners = table.owners(spark, "2")
+        assert list(owners.values()).count("2") == 1, table.name
+    for table in (state.evidence, state.relatedness, state.projection.pairs):
+        assert "2" not in table.owners(spark, "2").values() and table.owners(spark, "1") == table.owners(spark, "2")
+    assert updated["annotations"].count() == annotations.count() + 1
+    assert state.documents(spark, "2") == state.documents(spark, "1") + 1

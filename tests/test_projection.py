@@ -1,0 +1,103 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from netloom.operators import scoring
+from netloom.operators.projection import Projection
+from netloom.sources.buckets import BucketTable
+
+COUNTS = "pmid bigint, wiki_id bigint, mentions bigint"
+
+
+def frame(spark, docs):
+    return spark.createDataFrame([(d, e, m) for d, own in docs.items() for e, m in own.items()], COUNTS)
+
+
+def full(spark, docs, alpha=0.5):
+    profiles = scoring.stored_profiles(frame(spark, docs))
+    pairs = scoring.stored_pairs(profiles)
+    return scoring.dt_hybrid(profiles, pairs, alpha), scoring.pair_freq(pairs)
+
+
+def close(a, b):
+    a, b = ({(r.wid1, r.wid2): r.w_norm for r in df.collect()} for df in (a, b))
+    return a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def some_docs(rng, ids, n, entities):
+    weights = [1 / (k + 1) for k in range(entities)]
+    return {d: {e: rng.randint(1, 3) for e in set(rng.choices(range(entities), weights, k=rng.randint(1, n)))} for d in ids}
+
+
+@pytest.mark.parametrize("seed, alpha", [(1, 0.5), (2, 0.2)])
+def test_updates_equal_full_runs(spark, rows, tmp_path, seed, alpha):
+    """Documents come, gain and lose entities, and go; after each run the state is that of all documents."""
+    rng = random.Random(seed)
+    state = Projection(str(tmp_path), alpha=alpha, block=8, buckets=8)
+    docs = some_docs(rng, range(60), 12, 25)
+    docs |= {100 + k: {1: 2, 2: 1, 3: 1} for k in range(20)}
+    state.build(spark, frame(spark, docs), "0")
+    for run in (1, 2):
+        ids = rng.sample(sorted(docs), 5) + [200 + run]
+        after = dict(docs) | some_docs(rng, ids, 12, 30)
+        del after[ids[0]]
+        state.update(spark, str(run - 1), str(run), frame(spark, {d: docs[d] for d in ids if d in docs}), frame(spark, {d: after[d] for d in ids if d in after}))
+        docs = after
+        weights, freq = full(spark, docs, alpha)
+        got = state.weights(spark, str(run))
+        assert close(got, weights), run
+        assert rows(state.pair_freq(spark, str(run))) == rows(freq)
+        some = got.where("wid1 in (1, 2, 7)")
+        assert rows(state.weights(spark, str(run), spark.createDataFrame([(1,), (2,), (7,)], "wid1 bigint"))) == rows(some)
+
+
+def test_an_update_reads_pairs_of_touched_entities_only(spark, tmp_path, monkeypatch):
+    rng = random.Random(5)
+    docs = {d: {e: 1 for e in rng.sample(range(10 * (d % 20), 10 * (d % 20) + 10), 6)} for d in range(400)}
+    state = Projection(str(tmp_path), buckets=64)
+    state.build(spark, frame(spark, docs), "0")
+    read, written = [], {}
+    plain_read, plain_write = BucketTable.read, BucketTable.write
+
+    def counted(self, spark, run, buckets=None):
+        found = plain_read(self, spark, run, buckets)
+        if self.name == "state_pairs":
+            read.append((None if buckets is None else set(buckets), found.count()))
+        return found
+
+    def noted(self, rows, run, buckets=None, before=None):
+        written[self.name] = list(buckets)
+        return plain_write(self, rows, run, buckets, before)
+
+    monkeypatch.setattr(BucketTable, "read", counted)
+    monkeypatch.setattr(BucketTable, "write", noted)
+    after = {3: docs[3] | {next(e for e in range(30, 40) if e not in docs[3]): 1}}
+    touched = set(after[3])
+    state.update(spark, "0", "1", frame(spark, {3: docs[3]}), frame(spark, after))
+    total = plain_read(state.pairs, spark, "1").count()
+    own = set(state.pairs.buckets_of(spark.createDataFrame([(e,) for e in touched], "e bigint")))
+    # Touched rows before and after and for the merge, and rows whose maximum has lost; all among the ten entities of this block.
+    near = set(state.pairs.buckets_of(spark.createDataFrame([(e,) for e in range(30, 40)], "e bigint")))
+    assert all(b is not None and b <= near for b, _ in read) and all(n < total / 3 for _, n in read)
+    assert set(written["state_pairs"]) == set(written["state_entities"]) == own and set(written["state_maxima"]) <= near
+    monkeypatch.undo()
+    weights, _ = full(spark, docs | after)
+    assert close(state.weights(spark, "1"), weights)
+
+
+def test_buckets_keep_earlier_runs(spark, rows, tmp_path):
+    table = BucketTable(str(tmp_path), "t", "k bigint, v string", "k", buckets=16)
+    table.write(spark.createDataFrame([(k, "a") for k in range(40)], "k bigint, v string"), "1")
+    one = spark.createDataFrame([(7,)], "k bigint")
+    filled = table.update(spark, "1", "2", one, lambda old: old.withColumn("v", F.when(F.col("k") == 7, "b").otherwise(F.col("v"))))
+    assert filled == table.buckets_of(one) and len(filled) == 1
+    assert len(list((tmp_path / "t" / "run=2").glob("bucket=*"))) == 1
+    assert rows(table.read(spark, "2")) == sorted([(k, "b" if k == 7 else "a") for k in range(40)], key=repr)
+    assert {r.v for r in table.read(spark, "1").collect()} == {"a"}
+    assert table.update(spark, "2", "3", one, lambda old: old.limit(0)) == []
+    assert 7 not in {r.k for r in table.read(spark, "3").collect()} and table.read(spark, "3", filled).count() == 0
+    assert rows(table.read(spark, "2", filled)) != [] and table.update(spark, "3", "4", one.limit(0), lambda old: old) == []
+    assert rows(table.read(spark, "4")) == rows(table.read(spark, "3"))
+    empty = BucketTable(str(tmp_path), "e", "k bigint, v string", "k", buckets=4)
+    assert empty.write(table.read(spark, "3").limit(0), "1") == [] and empty.read(spark, "1").count() == 0
