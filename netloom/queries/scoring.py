@@ -287,12 +287,14 @@ def forward_fill_stanza(t: Tables) -> DataFrame:
     return filled.select("event_id", "user_id", "last_signup")
 
 
-@register("select count(*) as n_rows, true as within_size from orders")
+@register(
+    "select o_orderkey, rank, (rank - 1) // 100 as batch from "
+    "(select o_orderkey, row_number() over (order by o_totalprice desc, o_orderkey) as rank from orders)"
+)
 def batch_numbering(t: Tables) -> DataFrame:
-    """Batches of at most 100 rows; the report does not depend on which row is in which batch."""
-    numbered = number_batches(t.orders.select("o_orderkey"), [F.col("o_orderkey")], 100, shards=64)
-    sizes = numbered.groupBy("shard", "batch").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.sum("n").alias("n_rows"), (F.max("n") <= 100).alias("within_size"))
+    """Batches of 100 orders, the dearest first."""
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    return number_batches(rows, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 100).select("o_orderkey", "rank", "batch")
 
 
 ENTITY_SQL = (

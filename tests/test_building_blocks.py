@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 from netloom.operators import incremental
 from netloom.operators.joins import full_join
 from netloom.operators.setops import new_rows, swap_ends, symmetrize, union_all, unpivot_references
-from netloom.operators.windows import forward_fill, number_batches, scale_by_group_max, top_n
+from netloom.operators.windows import forward_fill, number_batches, number_rows, scale_by_group_max, top_n
 from netloom.session import materialize, shared_folder
 
 
@@ -67,10 +67,17 @@ def test_top_n_and_scaling(spark, rows):
     ]
 
 
-def test_batches_are_full_and_bounded(spark):
-    numbered = number_batches(spark.range(1000), [F.col("id")], 10, shards=4)
-    sizes = [r["count"] for r in numbered.groupBy("shard", "batch").count().collect()]
-    assert max(sizes) == 10 and sum(sizes) == 1000 and sum(s < 10 for s in sizes) <= 4
+def test_numbers_follow_the_order_over_many_tasks(spark):
+    df = spark.range(1000).withColumn("k", F.col("id") % 7).withColumn("none", F.when(F.col("id") % 5 > 0, F.col("id"))).repartition(9)
+    got = [(r.id, r.rank, r.batch) for r in number_batches(df, [F.col("k").desc(), F.col("id")], 10).collect()]
+    want = sorted(range(1000), key=lambda i: (-(i % 7), i))
+    assert sorted(got, key=lambda r: r[1]) == [(i, n + 1, n // 10) for n, i in enumerate(want)]
+    by_null = number_rows(df, [F.col("none").asc_nulls_last(), F.col("id")]).orderBy("rank").collect()
+    assert [r.id for r in by_null] == sorted(range(1000), key=lambda i: (i % 5 == 0, i))
+    assert number_rows(df.limit(0), [F.col("id")]).count() == 0
+    same = number_rows(spark.range(300).withColumn("one", F.lit(1)), [F.col("one")]).collect()
+    assert sorted(r.rank for r in same) == list(range(1, 301))
+
 
 
 def test_materialized_table_keeps_its_schema(spark, rows):
