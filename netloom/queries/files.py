@@ -15,7 +15,7 @@ from netloom.sources.spec import (
     SourceSpec, fields, read_csv, read_json, read_lines, read_positional, read_source, read_stanzas, read_table,
     read_tsv, read_xml, write_table, write_tsv,
 )
-from netloom.streaming.intake import start_intake, table_stream
+from netloom.streaming.intake import article_stream, start_intake, table_stream
 
 QUERIES = Registry()
 register = QUERIES.register
@@ -233,28 +233,34 @@ def xml_file(t: Tables, df: DataFrame, label: str, root: str, row: str) -> str:
 ARTICLE_TEXT = "md5(array_to_string(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ')), ' '))"
 
 
-@register(
-    f"select doc_id as pmid, md5(source || ' ' || lang) as title, {ARTICLE_TEXT} as abstract from documents "
-    "union all select -1 - nation.n_nationkey, md5(n_name || ' in vivo'), md5('') from nation"
-)
-def xml_articles(t: Tables) -> DataFrame:
-    """Documents as article records, a paragraph per line and inline tags in the title; the nations have no abstract."""
+def article_record(pmid: Column, title: Column, abstract: Column) -> Column:
+    return F.concat(
+        F.lit('<PubmedArticle><MedlineCitation><PMID Version="1">'), pmid.cast("string"), F.lit("</PMID><Article><ArticleTitle>"), title,
+        F.lit("</ArticleTitle>"), abstract, F.lit("</Article></MedlineCitation></PubmedArticle>"),
+    ).alias("value")
+
+
+def article_records(documents: DataFrame) -> DataFrame:
+    """(value): an article record per document, its source and language as title."""
     def escaped(c: Column) -> Column:
         return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
-    def record(pmid: Column, title: Column, abstract: Column) -> Column:
-        return F.concat(
-            F.lit('<PubmedArticle><MedlineCitation><PMID Version="1">'), pmid.cast("string"), F.lit("</PMID><Article><ArticleTitle>"), title,
-            F.lit("</ArticleTitle>"), abstract, F.lit("</Article></MedlineCitation></PubmedArticle>"),
-        ).alias("value")
-
     paragraphs = F.transform(
         F.split("text", "\n"), lambda x: F.concat(F.lit("<AbstractText>"), escaped(x), F.lit("</AbstractText>"))
     )
-    written = t.documents.select(record(
+    return documents.select(article_record(
         F.col("doc_id"), F.concat(F.lit("<i>"), "source", F.lit("</i> "), "lang"),
         F.concat(F.lit("<Abstract>"), F.array_join(paragraphs, ""), F.lit("</Abstract>")),
-    )).unionByName(t.nation.select(record(
+    ))
+
+
+@register(
+    f"select doc_id as pmid, md5(source || ' ' || lang) as title, {ARTICLE_TEXT} as abstract from documents "
+    "union all select -1 - nation.n_nationkey, md5(n_name || ' in vivo'), md5('') from nation"
+)
+def xml_articles(t: Tables) -> DataFrame:
+    """Documents as article records, a paragraph per line and inline tags in the title; the nations have no abstract."""
+    written = article_records(t.documents).unionByName(t.nation.select(article_record(
         -1 - F.col("n_nationkey"), F.concat("n_name", F.lit(' <i class="x">in vivo</i>')), F.lit("")
     )))
     # An article record holds no other one.
@@ -376,7 +382,25 @@ def stream_intake(t: Tables) -> DataFrame:
     schema = t.documents.schema
     stream = table_stream(t.spark, t.folder, schema, "documents.parquet").select(F.md5("text").alias("pmid"), "doc_id")
     corpus, checkpoint = new_path(t.spark, "corpus"), new_path(t.spark, "intake-checkpoint")
-    query = start_intake(stream, corpus, checkpoint)
+    query = start_intake(stream, corpus, checkpoint, buckets=16)
     query.awaitTermination()
     delete_now(t.spark, checkpoint)
-    return read_table(t.spark, delete_at_exit(t.spark, corpus))
+    return read_table(t.spark, delete_at_exit(t.spark, corpus), ["pmid", "doc_id"])
+
+
+@register(
+    f"select doc_id as pmid, md5(source || ' ' || lang) as title, {ARTICLE_TEXT} as abstract from documents where doc_id is not null"
+)
+def stream_articles(t: Tables) -> DataFrame:
+    """All documents as article files that arrive one by one, some again in a later file; known before are none."""
+    inbox = new_path(t.spark, "inbox")
+    half = F.pmod("doc_id", F.lit(2))
+    for arriving in (t.documents.where(half == 0), t.documents.where((half == 1) | (F.pmod("doc_id", F.lit(3)) == 0))):
+        article_records(arriving).write.mode("append").text(inbox)
+    delete_at_exit(t.spark, inbox)
+    corpus, checkpoint = new_path(t.spark, "corpus"), new_path(t.spark, "intake-checkpoint")
+    stream = article_stream(t.spark, inbox, files_per_batch=8).withColumnRenamed("PMID", "pmid")
+    start_intake(stream, corpus, checkpoint, buckets=8).awaitTermination()
+    delete_now(t.spark, checkpoint)
+    found = read_table(t.spark, delete_at_exit(t.spark, corpus))
+    return found.select("pmid", F.md5("Title").alias("title"), F.md5("Abstract").alias("abstract"))

@@ -105,12 +105,23 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     of the table prunes columns and pushes filters on its own.
     """
     path = new_path(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    stored = materialize_at(df, path)
     delete_at_exit(df.sparkSession, path)
     _written.append(path)
+    return stored
+
+
+def materialize_at(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a folder that the caller deletes, and read it back."""
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, system = _hadoop(spark, path)
+    return system.exists(hadoop_path)
+
+
 class Stages:
     """Intermediate tables of one job, deleted one by one as soon as nothing reads them, or all at the end."""
 

@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,19 +210,45 @@ def test_article_stream_adds_each_document_once(spark, rows, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
     corpus, checkpoint = str(tmp_path / "corpus"), str(tmp_path / "checkpoint")
+    known = spark.createDataFrame([(14,)], "pmid bigint")
 
     def run():
         stream = article_stream(spark, str(inbox)).withColumnRenamed("PMID", "pmid")
-        start_intake(stream, corpus, checkpoint).awaitTermination(120)
+        start_intake(stream, corpus, checkpoint, known=known, buckets=4).awaitTermination(120)
         return rows(spark.read.parquet(corpus), "pmid", "Title")
 
     (inbox / "a.xml").write_text(ARTICLES)
     assert run() == [(11, "One"), (12, "Two")]
     (inbox / "b.xml").write_text(ARTICLES.replace(">12<", ">13<").replace("Two", "Three"))
+    (inbox / "c.xml").write_text(ARTICLES.replace(">12<", ">14<"))
     assert run() == [(11, "One"), (12, "Two"), (13, "Three")]
     assert run() == [(11, "One"), (12, "Two"), (13, "Three")]
 
 
+def test_a_batch_is_told_by_state_and_can_be_repeated(spark, rows, tmp_path, monkeypatch):
+    """Neither the corpus nor buckets of other keys are read, and a batch that runs twice changes nothing."""
+    from netloom.sources.buckets import BucketTable
+    from netloom.streaming.intake import START, append_new_documents, known_keys
+
+    def batch(*ids):
+        return spark.createDataFrame([(i, f"t{i}") for i in ids], "pmid bigint, text string")
+
+    corpus = str(tmp_path / "corpus")
+    known = known_keys(corpus, batch(1).schema, "pmid", 16)
+    known.write(batch().select("pmid"), START)
+    add = append_new_documents(corpus, known)
+    add(batch(1, 2, 3, None, 1), 0)
+    shutil.rmtree(f"{corpus}/batch=0")  # known by state, not by the corpus
+    asked = []
+    plain = BucketTable.read
+    monkeypatch.setattr(BucketTable, "read", lambda self, spark, run, buckets=None: (asked.append(list(buckets)), plain(self, spark, run, buckets))[1])
+    for _ in range(2):
+        add(batch(2, 9), 1)
+        assert rows(spark.read.parquet(f"{corpus}/batch=1")) == [(9, "t9")]
+    assert all(b == known.buckets_of(batch(2, 9)) for b in asked)
+    assert sorted(r.pmid for r in plain(known, spark, "1").collect()) == [1, 2, 3, 9]
+
+
 DRUGS = """<drugbank>
 <drug><drugbank-id primary="true">DB1</drugbank-id><drugbank-id>OLD</drugbank-id><name>aspirin</name>
 <synonyms><synonym language="en">asa</synonym></synonyms>
