@@ -189,12 +189,14 @@ def build_index_by_xref(
             F.col(id_col).alias("SOURCE_ID"), F.col(name).alias("_name"), F.col(alias).alias("alias")
         ).distinct()
         sides.append(rows.join(pairs.select(F.col(key).alias("SOURCE_ID"), "IDX").distinct(), "SOURCE_ID"))
-    rows = union_all(sides)
-    names = rows.groupBy("IDX").agg(F.min("_name").alias("NAME"))
-    named = rows.join(names, "IDX").withColumn("TYPE", F.lit(type_name))
-    keys = ["IDX", "NAME", "TYPE"]
-    return EntityIndex(
-        type_name,
-        named.where(F.col("alias").isNotNull()).select(*keys, "alias").distinct(),
-        named.select(*keys, "SOURCE_ID").distinct(),
-    )
+    # One pass over the rows gives the name, the distinct aliases and the distinct ids of every entity.
+    sets = [[F.col("IDX")], [F.col("IDX"), F.col("alias")], [F.col("IDX"), F.col("SOURCE_ID")]]
+    grouped = union_all(sides).groupingSets(sets, "IDX", "alias", "SOURCE_ID").agg(F.min("_name").alias("NAME"), F.grouping_id().alias("_set"))
+    # Bits of the set tell which of IDX, alias and SOURCE_ID a row leaves out.
+    parts = materialize(grouped.where((F.col("_set") != 1) | F.col("alias").isNotNull()), "xref-parts")
+    names = parts.where("_set = 3").select("IDX", "NAME", F.lit(type_name).alias("TYPE"))
+
+    def named(which: int, value: str) -> DataFrame:
+        return parts.where(F.col("_set") == which).select("IDX", value).join(names, "IDX").select("IDX", "NAME", "TYPE", value)
+
+    return EntityIndex(type_name, named(1, "alias"), named(2, "SOURCE_ID"))
