@@ -231,19 +231,22 @@ def same_type_relations_both_ends(t: Tables) -> DataFrame:
 
 
 @register(
-    "select s_name as name1, p_name as name2, string_agg(distinct 'order:' || l_orderkey, ',' order by 'order:' || l_orderkey) "
-    "as reference from lineitem join supplier on l_suppkey = s_suppkey join part on l_partkey = p_partkey group by all"
+    "with r as (select distinct s_name as name1, p_type as name2, 'order:' || l_orderkey as reference from lineitem "
+    "join supplier on l_suppkey = s_suppkey join part on l_partkey = p_partkey), "
+    "n as (select *, (row_number() over (partition by name1, name2 order by reference) - 1) // 3 as chunk from r) "
+    "select name1, name2, chunk, string_agg(reference, ',' order by reference) as reference from n group by all"
 )
 def consolidate_references(t: Tables) -> DataFrame:
+    """Orders of each supplier and part type, three to a cell."""
     rows = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
         t.part, F.col("l_partkey") == F.col("p_partkey")
     )
     relations = rows.select(
-        F.col("s_name").alias("NAME1"), F.col("s_suppkey").alias("IDX1"), F.col("p_name").alias("NAME2"),
+        F.col("s_name").alias("NAME1"), F.col("s_suppkey").alias("IDX1"), F.col("p_type").alias("NAME2"),
         F.lit("").alias("IDX2"), text("order:{}", "l_orderkey").alias("REFERENCE"), F.lit("supplier-part").alias("TYPE"),
     )
-    return consolidate(relations).select(
-        F.col("NAME1").alias("name1"), F.col("NAME2").alias("name2"), F.array_join("REFERENCE", ",").alias("reference")
+    return consolidate(relations, 3).select(
+        F.col("NAME1").alias("name1"), F.col("NAME2").alias("name2"), F.col("CHUNK").alias("chunk"), F.array_join("REFERENCE", ",").alias("reference")
     )
 
 

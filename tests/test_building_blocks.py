@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 from netloom.operators import incremental
 from netloom.operators.joins import full_join
 from netloom.operators.setops import new_rows, swap_ends, symmetrize, union_all, unpivot_references
-from netloom.operators.windows import forward_fill, number_batches, number_rows, scale_by_group_max, top_n
+from netloom.operators.windows import chunked, forward_fill, number_batches, number_rows, scale_by_group_max, top_n
 from netloom.session import materialize, shared_folder
 
 
@@ -80,6 +80,17 @@ def test_numbers_follow_the_order_over_many_tasks(spark):
 
 
 
+def test_a_key_with_very_many_values_has_no_large_cell(spark):
+    many = spark.range(200_000).select(F.lit("hot").alias("k"), F.concat(F.lit("r"), "id").alias("v"))
+    few = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y"), (None, "z")], "k string, v string")
+    found = chunked(many.unionByName(few), ["k"], "v", 1000)
+    sizes = {(r.k, r.chunk): r.n for r in found.select("k", "chunk", F.size("v").alias("n")).collect()}
+    assert sizes[("a", 0)] == 2 and sizes[(None, 0)] == 1
+    assert [sizes[("hot", c)] for c in range(200)] == [1000] * 200 and len(sizes) == 202
+    hot = sorted(f"r{i}" for i in range(200_000))
+    assert found.where("k = 'hot' and chunk = 7").first().v == hot[7000:8000]
+
+
 def test_materialized_table_keeps_its_schema(spark, rows):
     df = spark.createDataFrame([(1, ["a"], None)], "id int, names array<string>, x double")
     stored = materialize(df, "t")

@@ -140,8 +140,11 @@ def test_same_type_relations_and_consolidation(spark, rows):
         "NAME1 string, IDX1 string, NAME2 string, IDX2 string, REFERENCE string, TYPE string",
     )
     nested = consolidate(relations)
-    assert [r.REFERENCE for r in nested.collect()] == [["r1", "r2"]]
+    assert [(r.REFERENCE, r.CHUNK) for r in nested.collect()] == [(["r1", "r2"], 0)]
     assert reference_rows(nested).count() == 2
+    single = consolidate(relations, 1)
+    assert sorted((r.CHUNK, r.REFERENCE) for r in single.collect()) == [(0, ["r1"]), (1, ["r2"])]
+    assert rows(reference_rows(single)) == rows(reference_rows(nested))
 
 
 # --- entity databases -----------------------------------------------------------------------------
