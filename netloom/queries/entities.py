@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from netloom.operators import textjobs
 from netloom.operators.entity_index import EntityIndex, build_index, build_index_by_xref
 from netloom.operators.networks import match_proteins, without_taxon
 from netloom.operators.relations import Far, consolidate, same_type_relations, typed_relations
 from netloom.plans import databases
 from netloom.queries.registry import Registry, Tables
 from netloom.queries.sqltext import LONG_INDEX, index_ctes, same_type_relation, typed_relation, with_ctes
+from netloom.session import delete_at_exit, materialize, new_path
+from netloom.sources.spec import read_lines, read_stanzas
 
 QUERIES = Registry()
 register = QUERIES.register
@@ -31,6 +34,13 @@ def text(value: str, *columns: str) -> Column:
     return F.format_string(value.replace("{}", "%s"), *[F.col(c) for c in columns])
 
 
+def text_file(t: Tables, value: Column, rows: DataFrame, label: str) -> str:
+    """A text file with one record per row."""
+    path = new_path(t.spark, label)
+    rows.select(value.alias("value")).write.text(path)
+    return delete_at_exit(t.spark, path)
+
+
 # --- alias indexes --------------------------------------------------------------------------------
 
 PARTS_SOURCE = (
@@ -296,6 +306,7 @@ DISEASE_CTES = [
     )
 )
 def disease_database(t: Tables) -> DataFrame:
+    """The ontology comes from a stanza file."""
     named = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).join(
         t.supplier, F.col("l_suppkey") == F.col("s_suppkey")
     )
@@ -315,10 +326,8 @@ def disease_database(t: Tables) -> DataFrame:
         text("D{}", "id1").alias("disease_dgn_id1"), text("D{}", "id2").alias("disease_dgn_id2"),
         "disease_name1", "disease_name2",
     )
-    terms = t.part.select(
-        text("T{}", "p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_partkey").alias("name"),
-        F.array(F.concat_ws(" ", "p_type", "p_partkey")).alias("synonyms"), F.array("p_brand").alias("parent_ids"),
-    )
+    stanza = text('[Term]\nid: T{}\nname: {} {}\nsynonym: "{} {}" EXACT []\nis_a: {} ! parent\n', "p_partkey", "p_name", "p_partkey", "p_type", "p_partkey", "p_brand")
+    terms = textjobs.ontology_terms(read_stanzas(t.spark, text_file(t, stanza, t.part, "ontology"), "\n["))
     enhancer = named.select(F.col("s_name").alias("gene_name"), name.alias("disease_name"))
     return relations_of(databases.diseases(gene_disease, variants, edges, terms, enhancer))
 
@@ -412,17 +421,23 @@ LNC_CTES = [
     )
 )
 def lncrna_database(t: Tables) -> DataFrame:
-    gene = text("lnc-{}", "l_partkey").alias("gene_id")
-    opened = t.lineitem.where(F.col("l_linestatus") == "O").select(
-        gene, F.concat(F.lit("A"), F.col("l_suppkey"), F.lit(";B"), F.col("l_quantity").cast("int")).alias("gene_alias")
-    )
-    filled = t.lineitem.where(F.col("l_linestatus") == "F").select(gene, text("C{}", "l_suppkey").alias("gene_alias"))
+    """Two annotation files; a gene has one or two numbered aliases."""
+    lines = t.lineitem.withColumn("quantity", F.col("l_quantity").cast("int"))
+    start = 'chr1\tsource\ttranscript\t1\t2\t.\t+\t.\tgene_id "lnc-{}"; transcript_id "t{}"; '
+    layouts = {
+        "O": text(start + 'gene_alias_1 "A{}"; gene_alias_2 "B{}";', "l_partkey", "l_orderkey", "l_suppkey", "quantity"),
+        "F": text(start + 'gene_alias_1 "C{}";', "l_partkey", "l_orderkey", "l_suppkey"),
+    }
+    builds = [
+        textjobs.lncrna_transcripts(read_lines(t.spark, text_file(t, line, lines.where(F.col("l_linestatus") == status), "gtf")))
+        for status, line in layouts.items()
+    ]
     targets = t.part.select(
         text("EN{}", "p_partkey").alias("gene_id"), text("lnc-{}", "p_partkey").alias("gene_symbol"),
         F.when(F.col("p_type").contains("A"), "lncRNA").otherwise("coding").alias("gene_class"),
         F.concat(F.lit("miR-"), F.col("p_size"), F.lit("/"), F.col("p_size") + 1).alias("microrna"),
     )
-    return relations_of(databases.lncrnas([opened, filled], targets))
+    return relations_of(databases.lncrnas([materialize(b, "transcripts") for b in builds], targets))
 
 
 MIRNA_CTES = [
@@ -490,11 +505,12 @@ MRNA_CTES = [
     with_ctes(MRNA_CTES, typed_relation("i", "select id, gene as name2, '' as reference from tr", "mRNA-gene"))
 )
 def mrna_database(t: Tables) -> DataFrame:
-    rows = t.part.select(
-        text("NM_{}", "p_partkey").alias("RNA_id"), F.concat_ws(" ", "p_brand", "p_type", "p_partkey").alias("RNA_name"),
-        F.col("p_name").alias("gene_name"),
+    """Transcripts from the header lines of a sequence file."""
+    header = text(
+        ">NM_{}.2 Homo sapiens {} {} {} ({}), transcript variant 1, mRNA\nACGT", "p_partkey", "p_brand", "p_type", "p_partkey", "p_name"
     )
-    return relations_of(databases.mrnas(rows))
+    rows = textjobs.transcripts(read_lines(t.spark, text_file(t, header, t.part, "fasta")))
+    return relations_of(databases.mrnas(materialize(rows, "transcripts")))
 
 
 PATHWAY_CTES = [
@@ -612,11 +628,13 @@ ENZYME_CTES = [
     )
 )
 def enzyme_database(t: Tables) -> DataFrame:
-    rows = t.part.select(
-        text("1.{}", "p_partkey").alias("enzyme_id"), F.col("p_name").alias("enzyme_name"),
-        F.array(text("P{}", "p_partkey")).alias("proteins"), F.array(F.col("p_brand"), F.lit("")).alias("synonyms"),
+    """Enzymes from a flat file, with proteins of two species."""
+    stanza = text(
+        "ID\t1.{} (x)\nPR\t#1# Homo sapiens P{} UniProt <1,2>\nPR\t#2# Bos taurus Q1 UniProt <3>\nRN\t{}\nSY\t{}\nSY\t#1# other\n",
+        "p_partkey", "p_partkey", "p_name", "p_brand",
     )
-    return relations_of(databases.enzymes(rows))
+    rows = textjobs.enzyme_records(read_stanzas(t.spark, text_file(t, stanza, t.part, "enzymes"), "\nID\t"))
+    return relations_of(databases.enzymes(materialize(rows, "enzymes")))
 
 
 @register(
