@@ -12,7 +12,8 @@ from netloom.plans import databases
 from netloom.queries.registry import Registry, Tables
 from netloom.queries.sqltext import LONG_INDEX, index_ctes, same_type_relation, typed_relation, with_ctes
 from netloom.session import delete_at_exit, materialize, new_path
-from netloom.sources.spec import read_lines, read_stanzas
+from netloom.sources import catalog
+from netloom.sources.spec import read_lines, read_source, read_stanzas
 
 QUERIES = Registry()
 register = QUERIES.register
@@ -642,13 +643,17 @@ def enzyme_database(t: Tables) -> DataFrame:
     "join supplier on l_suppkey = s_suppkey where p_type = 'PROMO' and l_returnflag = 'R'"
 )
 def protein_interaction_filter(t: Tables) -> DataFrame:
-    """Both organisms must match."""
-    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("p_partkey").alias("a_id"), F.col("l_suppkey").alias("b_id"),
-        F.when(F.col("p_type") == "PROMO", "Homo sapiens").otherwise("Mus musculus").alias("organism_a"),
-        F.when(F.col("l_returnflag") == "R", "Homo sapiens").otherwise("Mus musculus").alias("organism_b"),
-    )
-    return databases.protein_interactions(rows)
+    """An interaction file; both organisms must match."""
+    human, mouse = F.lit("Homo sapiens"), F.lit("Mus musculus")
+    path = new_path(t.spark, "interactions")
+    t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("p_partkey").alias("Official Symbol Interactor A"), F.col("l_suppkey").alias("Official Symbol Interactor B"),
+        F.when(F.col("p_type") == "PROMO", human).otherwise(mouse).alias("Organism Name Interactor A"),
+        F.when(F.col("l_returnflag") == "R", human).otherwise(mouse).alias("Organism Name Interactor B"),
+    ).write.option("sep", catalog.PROTEIN_INTERACTIONS.sep).option("header", True).csv(path)
+    rows = read_source(t.spark, catalog.PROTEIN_INTERACTIONS, delete_at_exit(t.spark, path))
+    ids = [F.col(f"symbol_{end}").cast("bigint").alias(f"{end}_id") for end in "ab"]
+    return databases.protein_interactions(rows).select(*ids)
 
 
 @register(
