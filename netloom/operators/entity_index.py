@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netloom.functions.ids import ID_PREFIX, entity_id
 from netloom.operators.setops import union_all
@@ -151,7 +151,8 @@ def cross_reference_pairs(
 ) -> DataFrame:
     """(left_id, right_id): pairs asserted by either source, plus the ids neither source pairs."""
     key = ["left_id", "right_id"]
-    asserted = left_refs.select(*key).unionByName(right_refs.select(*key)).distinct()
+    # Read three times; without this the references would be put together each time.
+    asserted = materialize(left_refs.select(*key).unionByName(right_refs.select(*key)).distinct(), "asserted")
     alone = [
         ids.select(own).distinct().join(asserted.select(own).distinct(), own, "left_anti")
         for ids, own in ((left_ids, "left_id"), (right_ids, "right_id"))
@@ -160,6 +161,23 @@ def cross_reference_pairs(
     return union_all([asserted, *alone], allow_missing=True).select(*key)
 
 
+def _same_id(pairs: DataFrame, idx: Column) -> DataFrame:
+    """``pairs`` (left_id, right_id, NAME, ...) with ``_clash``: whether another pair has the same id; such pairs take the smallest of their names.
+
+    An id is made of the text of its pair. That of two ids that are neither empty nor hold the separator is its own; only the
+    others, of which most are ids without a counterpart, are compared.
+    """
+    own = F.lit(True)
+    for side in ("left_id", "right_id"):
+        text = F.col(side).cast("string")
+        own = own & F.coalesce((text != "") & ~text.contains("|"), F.lit(False))
+    same = Window.partitionBy("_idx")
+    others = pairs.where(~own).withColumn("_idx", idx).withColumns(
+        {"NAME": F.min("NAME").over(same), "_clash": F.count(F.lit(1)).over(same) > 1}
+    ).drop("_idx")
+    return pairs.where(own).withColumn("_clash", F.lit(False)).unionByName(others)
+
+
 def build_index_by_xref(
     type_name: str,
     left: DataFrame,
@@ -172,6 +190,9 @@ def build_index_by_xref(
 
     ``left`` and ``right`` are (id, name, other_name); the reference tables are (left_id, right_id). Every pair is an
     entity of its own, so an id with several counterparts is part of several entities.
+
+    What an id has to give is settled per id, before it meets the pairs: the name of an entity is the smaller of two, and
+    an alias can only repeat in an entity if both sources know it.
     """
     pairs = cross_reference_pairs(
         left.select(F.col(left.columns[0]).alias("left_id")),
@@ -179,24 +200,35 @@ def build_index_by_xref(
         left_refs,
         right_refs,
     )
-    pairs = materialize(
-        pairs.withColumn("IDX", entity_id(type_name, F.col("left_id"), F.col("right_id"), prefix=prefix)), "xref"
-    )
-    sides = []
+    aliases = {}
     for df, key in ((left, "left_id"), (right, "right_id")):
         id_col, name, alias = df.columns[:3]
-        rows = df.select(
-            F.col(id_col).alias("SOURCE_ID"), F.col(name).alias("_name"), F.col(alias).alias("alias")
-        ).distinct()
-        sides.append(rows.join(pairs.select(F.col(key).alias("SOURCE_ID"), "IDX").distinct(), "SOURCE_ID"))
-    # One pass over the rows gives the name, the distinct aliases and the distinct ids of every entity.
-    sets = [[F.col("IDX")], [F.col("IDX"), F.col("alias")], [F.col("IDX"), F.col("SOURCE_ID")]]
-    grouped = union_all(sides).groupingSets(sets, "IDX", "alias", "SOURCE_ID").agg(F.min("_name").alias("NAME"), F.grouping_id().alias("_set"))
-    # Bits of the set tell which of IDX, alias and SOURCE_ID a row leaves out.
-    parts = materialize(grouped.where((F.col("_set") != 1) | F.col("alias").isNotNull()), "xref-parts")
-    names = parts.where("_set = 3").select("IDX", "NAME", F.lit(type_name).alias("TYPE"))
-
-    def named(which: int, value: str) -> DataFrame:
-        return parts.where(F.col("_set") == which).select("IDX", value).join(names, "IDX").select("IDX", "NAME", "TYPE", value)
-
-    return EntityIndex(type_name, named(1, "alias"), named(2, "SOURCE_ID"))
+        own = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias(key), F.col(name).alias(f"_{key}_name"), F.col(alias).alias("alias"))
+        names = own.groupBy(key).agg(F.min(f"_{key}_name").alias(f"_{key}_name")).withColumn(f"_{key}_known", F.lit(True))
+        pairs = pairs.join(names, key, "left")
+        aliases[key] = own.select(key, "alias").where(F.col("alias").isNotNull()).distinct()
+    named = pairs.select(
+        "left_id", "right_id", F.least("_left_id_name", "_right_id_name").alias("NAME"),
+        *[F.coalesce(F.col(f"_{key}_known"), F.lit(False)).alias(f"_{key}_known") for key in aliases],
+    ).where(F.col("_left_id_known") | F.col("_right_id_known"))
+    # The id of an entity is derived from its pair where it is read, so that it is neither written nor shuffled.
+    idx = entity_id(type_name, F.col("left_id"), F.col("right_id"), prefix=prefix)
+    named = materialize(_same_id(named, idx), "xref")
+    entity = [idx.alias("IDX"), F.col("NAME"), F.lit(type_name).alias("TYPE")]
+
+    shared = aliases["left_id"].select("alias").distinct().join(aliases["right_id"], "alias", "left_semi").withColumn("_shared", F.lit(True))
+    rows = []
+    for key, own in aliases.items():
+        own = materialize(own.join(shared, "alias", "left").withColumn("_shared", F.coalesce("_shared", F.lit(False))), "xref-aliases")
+        # A sum, so that the condition stays behind the join and all its readers share the exchange of the pairs.
+        repeats = F.col("_shared").cast("int") + F.col("_clash").cast("int") > 0
+        rows.append(named.where(F.col(f"_{key}_known")).join(own, key).select(*entity, "alias", repeats.alias("_repeats")))
+    found = union_all(rows)
+    known = [F.when(F.col(f"_{key}_known"), F.col(key)) for key in aliases]
+    second = F.when(known[1].eqNullSafe(known[0]), F.lit(None)).otherwise(known[1])
+    ids = named.select(*entity, F.explode(F.array(known[0], second)).alias("SOURCE_ID"), "_clash").where(F.col("SOURCE_ID").isNotNull())
+    return EntityIndex(
+        type_name,
+        found.where(~F.col("_repeats")).drop("_repeats").unionByName(found.where("_repeats").drop("_repeats").distinct()),
+        ids.where(~F.col("_clash")).drop("_clash").unionByName(ids.where("_clash").drop("_clash").distinct()),
+    )
