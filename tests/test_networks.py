@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from netloom.functions.ids import packed, unpacked
 from netloom.operators import export, networks
 from netloom.operators.annotate import annotate, candidate_runs, document_text, filter_categories, longest_matches
 
@@ -192,3 +193,23 @@ def test_nothing_to_look_up(spark):
     docs = spark.createDataFrame([(1, "x"), (2, None), (3, "")], "pmid bigint, text string")
     assert candidate_runs(docs, spark.createDataFrame([], "spot string")).count() == 0
     assert candidate_runs(docs.limit(0), spark.createDataFrame([("x",)], "spot string")).count() == 0
+
+
+def test_packed_ids_come_back(spark):
+    ids = ["KN_GENE:" + "0123456789abcdef" * 2, "KN_GENE:" + "0123456789ABCDEF" * 2, "abcdef", "", None, "f" * 32, "x" * 40, "KN_Ä:" + "00" * 16]
+    found = spark.createDataFrame([(i,) for i in ids], "i string").select("i", packed(F.col("i")).alias("p")).select("i", "p.head", unpacked(F.col("p")).alias("back"))
+    assert [(r.i, r.back) for r in found.collect()] == [(i, i) for i in ids]
+    assert [r["head"] for r in found.collect()][:2] == ["KN_GENE:", ids[1]]
+
+
+def test_links_are_made_distinct_once(spark):
+    # Relations, links by name, links by reference and all links were each made distinct, all with the ids in full.
+    relations = spark.range(1).selectExpr(
+        "'n' as NAME1", "'i' as IDX1", "concat('m', id) as NAME2", "'' as IDX2", "concat('db:', id) as REFERENCE", "concat('gene-', 'drug') as TYPE"
+    )
+    ids = spark.createDataFrame([("j", "m", "DRUG", "m0", "0")], "IDX string, NAME string, TYPE string, alias string, SOURCE_ID string")
+    links = networks.literature_links(relations, ids.drop("SOURCE_ID"), ids.drop("alias"))
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    # Terms, ids and links.
+    assert plan.count("Aggregate") == 3
+    assert [tuple(r) for r in links.collect()] == [("n", "i", "m", "j")]
