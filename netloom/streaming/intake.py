@@ -30,7 +30,7 @@ def article_stream(spark: SparkSession, folder: str, row_tag: str = "PubmedArtic
 
 
 def table_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet", files_per_batch: int = 200) -> DataFrame:
-    """Parquet files of a folder as a stream."""
+    """Parquet files of a folder, or of the files and folders that a path pattern finds, as a stream."""
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", pattern)

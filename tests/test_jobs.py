@@ -7,6 +7,7 @@ from netloom.config import JobConfig
 from netloom.operators import scoring
 from netloom.operators.networks import TYPES
 from netloom.plans import knowledge_path, score_path, update_path
+from netloom.queries import all_queries
 from netloom.sources.spec import read_tsv
 from test_textjobs import DRUGS, ENZYMES, ONTOLOGY
 
@@ -200,3 +201,12 @@ def test_a_batch_of_one_document_writes_one_bucket(spark, job):
         assert "2" not in table.owners(spark, "2").values() and table.owners(spark, "1") == table.owners(spark, "2")
     assert updated["annotations"].count() == annotations.count() + 1
     assert state.documents(spark, "2") == state.documents(spark, "1") + 1
+
+
+def test_stream_intake_reads_a_table_in_several_files(spark, tmp_path):
+    # The stream looked for one file of the table's name and found nothing in a folder.
+    rows = [(3, "a b"), (1, "a b"), (2, "c"), (5, "c"), (4, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    frame.repartition(3).write.parquet(str(tmp_path / "folder" / "documents.parquet"))
+    found = all_queries()["stream_intake"](spark, str(tmp_path / "folder"))
+    assert sorted(r.doc_id for r in found.collect()) == [1, 2]
