@@ -1,4 +1,5 @@
 import random
+import re
 from collections import defaultdict
 from hashlib import md5
 from pathlib import Path
@@ -269,3 +270,23 @@ def test_xref_index_merges_pairs_of_the_same_id(spark, rows):
 
 def entity_hash(left, right):
     return "KN_D:" + md5(f"{left}|{right}".encode()).hexdigest()
+
+
+def test_index_makes_rows_distinct_without_ids(spark):
+    # The digests of entity ids and of generated source ids were shuffled as text.
+    index = build_index("T", [source(spark, [("DE:" + "ab" * 16, "n", "a")]), source(spark, [("y", "m", "a"), ("z", None, "b")])])
+    assert index.source_ids.where("NAME = 'm'").select("SOURCE_ID").orderBy("SOURCE_ID").collect() == [("DE:" + "ab" * 16,), ("y",)]
+    assert index.source_ids.where("NAME is null").select("SOURCE_ID").collect() == [("z",)]
+    for table in (index.aliases, index.source_ids):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        keys = re.findall(r"Aggregate \[([^\]]*)\]", plan)
+        assert keys and not any("IDX" in k for k in keys)
+
+
+def test_disease_inputs_are_stored_once(spark):
+    # Associations, edges and enhancers were put together anew by every reader.
+    genes = spark.createDataFrame([("g", "D1", "flu", "disease")], "gene_name string, disease_dgn_id string, disease_name string, diseaseType string")
+    edges = spark.createDataFrame([("D1", "D1", "flu", "flu")], "disease_dgn_id1 string, disease_dgn_id2 string, disease_name1 string, disease_name2 string")
+    kept = databases.keep_known_diseases(edges, [genes], ["disease_dgn_id1", "disease_dgn_id2"])
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.count() == 1 and "Aggregate" not in plan
