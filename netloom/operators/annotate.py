@@ -9,8 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from netloom.operators.scoring import mention_counts
-from netloom.operators.setops import symmetrize, union_all
+from netloom.operators.scoring import mention_counts, profile_pairs
+from netloom.operators.setops import union_all
 from netloom.session import delete_at_exit, materialize, new_path
 
 WORD = r"[\p{L}\p{N}]+"
@@ -193,16 +193,19 @@ def rated(matches: DataFrame, related: DataFrame) -> DataFrame:
 def coherence(matches: DataFrame, related: DataFrame) -> DataFrame:
     """(pmid, wiki_id, coherence): mean relatedness of an entity to the other entities of its document.
 
-    Entity pairs without a relatedness count as 0. The work follows the related pairs: from a document's entities to
-    their neighbours, of which those in the document count.
+    Entity pairs without a relatedness count as 0. Pairs are formed inside a document first, as ``profile_pairs`` lays them out, and each
+    meets its relatedness: the neighbours that an entity has elsewhere are never listed. What a document's pairs give is
+    added up in the task that forms them, and only the sums are shuffled.
     """
     counts = mention_counts(matches, "distinct")
     sizes = counts.groupBy("pmid").agg(F.count(F.lit(1)).alias("degree"))
-    near = symmetrize(related.where("relatedness <> 0").select("wid1", "wid2", "relatedness"), "wid1", "wid2")
-    own = counts.select("pmid", F.col("wiki_id").alias("wid1"))
-    there = counts.select("pmid", F.col("wiki_id").alias("wid2"))
-    known = own.join(near, "wid1").join(there, ["pmid", "wid2"])
-    return known.join(sizes, "pmid").groupBy("pmid", F.col("wid1").alias("wiki_id")).agg(
+    own = materialize(counts.join(sizes, "pmid"), "entities").withColumns({"copies": F.lit(1), "docs": F.lit(1)})
+    near = related.where("relatedness <> 0 and wid1 <> wid2").select(
+        F.least("wid1", "wid2").alias("wid1"), F.greatest("wid1", "wid2").alias("wid2"), "relatedness"
+    )
+    known = profile_pairs(own).select("pmid", "degree", "wid1", "wid2").join(near, ["wid1", "wid2"])
+    ends = F.explode(F.array("wid1", "wid2")).alias("wiki_id")
+    return known.select("pmid", "degree", "relatedness", ends).groupBy("pmid", "wiki_id").agg(
         (F.sum("relatedness") / (F.max("degree") - 1)).alias("coherence")
     )
 
