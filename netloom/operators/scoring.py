@@ -20,7 +20,7 @@ keep different columns and so cannot share a shuffle; the ``stored_`` forms writ
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netloom.operators.setops import symmetrize
 from netloom.operators.windows import top_n
@@ -139,10 +139,10 @@ def _directed(pairs: DataFrame, alpha: float, *extra: str) -> DataFrame:
     return pairs.select(F.inline(F.array(forward, backward)), *extra)
 
 
-def _row_maxima(profiles: DataFrame, pairs: DataFrame, alpha: float) -> DataFrame:
-    """(wid1, w_max): the largest weight of each row, the entity's weight with itself included."""
+def _own_weights(profiles: DataFrame, alpha: float) -> DataFrame:
+    """(wid1, w): each entity's weight with itself."""
     square = F.col("copies") * F.col("mentions") * F.col("mentions") / F.col("degree")
-    own = (
+    return (
         profiles.groupBy("wiki_id")
         .agg(F.sum(square).alias("shared"), F.max("docs").alias("docs"))
         .select(
@@ -150,21 +150,40 @@ def _row_maxima(profiles: DataFrame, pairs: DataFrame, alpha: float) -> DataFram
             _projection(F.col("shared"), F.col("docs"), F.col("docs"), alpha).alias("w"),
         )
     )
+
+
+def _row_maxima(profiles: DataFrame, pairs: DataFrame, alpha: float) -> DataFrame:
+    """(wid1, w_max): the largest weight of each row, the entity's weight with itself included."""
+    own = _own_weights(profiles, alpha)
     others = _directed(pairs, alpha).select("wid1", "w")
     return own.unionByName(others).groupBy("wid1").agg(F.max("w").alias("w_max"))
 
 
+def _with_row_maxima(profiles: DataFrame, pairs: DataFrame, alpha: float, *extra: str) -> DataFrame:
+    """Both directions of every pair with ``w``, ``extra`` and ``w_max``, the largest weight of row wid1, the entity's weight with itself included.
+
+    Rows go to the task of their wid1 once, where the maximum is found and where a ranking within wid1 can follow. A row has one cell per
+    entity at most, whatever the number of documents.
+    """
+    rows = _directed(pairs, alpha, *extra).unionByName(_own_weights(profiles, alpha), allowMissingColumns=True)
+    top = F.max("w").over(Window.partitionBy("wid1"))
+    return rows.withColumn("w_max", top).where(F.col("wid2").isNotNull())
+
+
 def dt_hybrid(profiles: DataFrame, pairs: DataFrame, alpha: float = 0.5) -> DataFrame:
     """(wid1, wid2, w_norm): degree-normalised bipartite projection, both directions, no diagonal.
 
     W(i, j) = shared(i, j) * docs(i)^-alpha * docs(j)^(alpha - 1), divided by the largest W of row i
     (diagonal included). ``pairs`` is the pair table of ``profiles``.
     """
-    maxima = _row_maxima(profiles, pairs, alpha)
-    return (
-        _directed(pairs, alpha)
-        .join(maxima, "wid1")
-        .select("wid1", "wid2", (F.col("w") / F.col("w_max")).alias("w_norm"))
+    return _with_row_maxima(profiles, pairs, alpha).select("wid1", "wid2", (F.col("w") / F.col("w_max")).alias("w_norm"))
+
+
+def edge_scores(profiles: DataFrame, pairs: DataFrame, n_docs: Column, alpha: float = 0.5) -> DataFrame:
+    """(wid1, wid2, w_norm, relatedness, freq), both directions: the three scores of each edge in one table."""
+    scored = pairs.withColumn("relatedness", _relatedness(n_docs))
+    return _with_row_maxima(profiles, scored, alpha, "relatedness", "freq").select(
+        "wid1", "wid2", (F.col("w") / F.col("w_max")).alias("w_norm"), "relatedness", "freq"
     )
 
 
@@ -262,3 +281,9 @@ def predict_from_pairs(
         .join(_row_maxima(profiles, pairs, alpha), "wid1")
         .select("wid1", "wid2", (F.col("raw") / F.col("w_max")).alias("score"))
     )
+
+
+def predict_edges(edges: DataFrame, n: int = 500) -> DataFrame:
+    """Same result as ``predict`` from the one table of ``edge_scores``."""
+    score = F.col("w_norm") * F.col("relatedness") * F.col("freq")
+    return best(edges.select("wid1", "wid2", score.alias("score")), F.col("score"), n)

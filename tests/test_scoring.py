@@ -131,6 +131,17 @@ def test_both_forms_of_the_prediction_agree(spark, rows):
     assert joined.groupBy("wid1").count().where("count > 4").isEmpty()
 
 
+def test_edges_meet_their_row_once_for_maximum_and_ranking(spark, rows):
+    counts, profiles, pairs = graph(spark, random_pairs(17, docs=120, ents=30))
+    n_docs = scoring.corpus_size(counts)
+    ranked = scoring.predict_edges(scoring.edge_scores(profiles, pairs, n_docs), 4)
+    rounded = F.round("score", 9)
+    assert rows(ranked, "wid1", "wid2", rounded) == rows(scoring.predict_from_pairs(profiles, pairs, n_docs, n=4), "wid1", "wid2", rounded)
+    plan = scoring.predict_edges(scoring.edge_scores(profiles, pairs, F.lit(40)), 4)._jdf.queryExecution().executedPlan().toString()
+    # One exchange for the entities' own weights, one for the rows of wid1.
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan
+
+
 def test_top_n_is_cut_before_the_shuffle(spark):
     _, profiles, pairs = graph(spark, random_pairs(1))
     plan = scoring.predict_from_pairs(profiles, pairs, F.lit(40), n=5)._jdf.queryExecution().executedPlan().toString()
