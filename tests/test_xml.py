@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from netloom.queries import files
+from netloom.queries.registry import Tables
 from netloom.sources.spec import read_xml
 from netloom.sources.xml import record_texts
 from netloom.sources import catalog
@@ -105,3 +107,20 @@ def test_a_record_that_does_not_parse_is_an_error(spark, rows, tmp_path):
         read_xml(spark, path, "r", "v string").collect()
     assert rows(read_xml(spark, path, "r", "v string", mode="PERMISSIVE"))[0] == ("1",)
     assert rows(read_xml(spark, put(tmp_path, "<all><r><v>1</v></r>x<r><v>2</v></r></all>", "c.xml"), "r", "v string", nests=False)) == [("1",), ("2",)]
+
+
+def test_no_window_holds_a_whole_split_without_order(spark, tmp_path):
+    path = put(tmp_path, "<all><r>one</r><r>two <r>in</r></r><r>three</r></all>")
+    plan = record_texts(spark, path, "r")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("], [at#" in line or "], [block#" in line for line in windows)
+    assert texts(spark, path) == ["<r>one</r>", "<r>three</r>", "<r>two <r>in</r></r>"]
+
+
+def test_nested_queries_parse_what_they_read_and_once(spark, rows):
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    wanted = files.drug_records(tables, "drugbank-id", "name")
+    assert wanted.columns == ["drugbank-id", "name"]
+    assert rows(wanted) == rows(files.drug_records(tables).select("drugbank-id", "name"))
+    plan = files.QUERIES["nested_polypeptides"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "xml" not in plan.lower() and "Relation [" in plan
