@@ -25,6 +25,18 @@ def test_nodes_match_normalised_names(spark, rows):
     assert rows(networks.node_table(found)) == [("KN_GENE:1", "IL2", [1], "GENE"), ("KN_GENE:2", "TP53", [2], "GENE")]
 
 
+def test_matches_are_shuffled_with_packed_ids(spark, rows):
+    long = "KN_GENE:" + "0123456789abcdef" * 2
+    annotations = spark.createDataFrame([(1, "ab", "AB"), (1, "ab", "c"), (2, "c", None)], "wiki_id bigint, spot string, title string")
+    aliases = spark.createDataFrame([(long, "n", "gene", "Ab"), (long, "n", "gene", "C"), ("own", "m", "drug", "c")], "IDX string, NAME string, TYPE string, alias string")
+    found = networks.match_nodes(annotations, aliases)
+    assert rows(found) == [(long, "n", "GENE", 1), (long, "n", "GENE", 2), ("own", "m", "DRUG", 1), ("own", "m", "DRUG", 2)]
+    assert found.columns == ["IDX", "NAME", "TYPE", "wiki_id"]
+    # The ids become whole in the last step only, after the matches are distinct.
+    last = found._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    assert ".digest" in last
+
+
 def test_entity_network_averages_distinct_scores(spark, rows):
     prediction = spark.createDataFrame([(1, 2, 0.5), (1, 3, 0.5), (4, 2, 1.0), (1, 4, 9.0)], "wid1 int, wid2 int, score double")
     bridge = spark.createDataFrame([("A", 1), ("B", 2), ("B", 3), ("A", 4)], "IDX string, wiki_id int")
