@@ -4,7 +4,7 @@ A word enters as an embedding of itself (hashed) beside the mean embedding of it
 are read by their characters. The network reads windows of ``WINDOW`` words that overlap by half; a text's score is that of
 its most toxic window. Whole texts are scored, in tasks; the weights have a fixed size and are broadcast.
 
-The network is fitted on the driver on a bounded sample of labelled rows: at most ``max_rows`` rows of each label, chosen by a hash of the
+The network is fitted in one task on a bounded sample of labelled rows, of which the driver gets the weights only: at most ``max_rows`` rows of each label, chosen by a hash of the
 id, of at most ``max_chars`` code points. A label holds for a whole text, so fitting alternates between scoring all windows and
 learning from the highest-scoring ones of each text.
 """
@@ -117,6 +117,22 @@ class Network:
                 f"bias_{side}": np.concatenate([np.ones(HIDDEN), np.zeros(2 * HIDDEN)]).astype(_F),
             }
 
+    def stored(self) -> pa.RecordBatch:
+        """Rows (name, shape, data) from which ``restored`` makes the same network."""
+        rows = {**self.w, "scale": np.array([self.slope, self.shift])}
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows), pa.array([v.shape for v in rows.values()], pa.list_(pa.int64())), pa.array([v.tobytes() for v in rows.values()], pa.binary())],
+            names=["name", "shape", "data"],
+        )
+
+    @classmethod
+    def restored(cls, rows: pa.Table) -> Network:
+        net = cls.__new__(cls)
+        found = {r["name"]: (r["shape"], r["data"]) for r in rows.to_pylist()}
+        net.slope, net.shift = np.frombuffer(found.pop("scale")[1]).tolist()
+        net.w = {name: np.frombuffer(data, dtype=_F).reshape(shape) for name, (shape, data) in found.items()}
+        return net
+
     def inputs(self, b: Batch) -> np.ndarray:
         """Vectors of the distinct words, behind one of zeros for padding."""
         out = np.zeros((len(b.buckets) + 1, WORD_DIM + CHAR_DIM), dtype=_F)
@@ -321,9 +337,21 @@ def learn(
     rows = (
         docs.select(column(docs, id_col).alias("id"), text.alias("text")).where(F.char_length("text") <= max_chars)
         .join(F.broadcast(chosen), "id")  # at most 2 * max_rows rows of three numbers
-        .orderBy("order", "id", "text").limit(2 * max_rows).select("text", "label").toArrow()
+        .orderBy("order", "id", "text").limit(2 * max_rows).select("text", "label")
     )
-    return fit(rows.column(0).to_pylist(), rows.column(1).to_pylist(), prior)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            toxic += batch.column(1).to_pylist()
+        network = fit(texts, toxic, prior)
+        if network is not None:
+            yield network.stored()
+
+    # A cut after an order is one partition in that order.
+    stored = rows.mapInArrow(run, "name string, shape array<bigint>, data binary").toArrow()
+    return Network.restored(stored) if len(stored) else None
 
 
 def _in_small_groups(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:

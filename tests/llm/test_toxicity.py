@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from netloom.llm import toxicity
 from netloom.llm.toxicity import (
     Network, drop_toxic, fit, learn, read_words, score_texts, training_side, window_words, windows_of,
 )
@@ -110,3 +111,17 @@ def test_held_out_labels_are_not_learned(spark, documents):
     one = learn(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
     two = learn(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int"))
     assert all(np.array_equal(one.w[k], two.w[k]) for k in one.w)
+
+
+def test_the_network_is_fitted_in_a_task(spark, monkeypatch):
+    rows = corpus(random.Random(9), 60)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    before, here = toxicity.fit, []
+    monkeypatch.setattr(toxicity, "fit", lambda *a: here.append(a) or before(*a))
+    net = learn(docs, labels)
+    assert net is not None and not here  # the task has a list of its own
+    again = Network.restored(pa.Table.from_batches([net.stored()]))
+    texts = pa.array([t for _, t, _ in rows])
+    assert np.array_equal(again.text_scores(texts), net.text_scores(texts))
+    assert learn(docs, labels.where("toxic = 1")) is None
