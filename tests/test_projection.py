@@ -3,8 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from netloom.operators import scoring
-from netloom.operators.projection import Projection
+from netloom.operators import incremental, scoring
+from netloom.operators.projection import Projection, share_changes, shares
 from netloom.sources.buckets import BucketTable
 
 COUNTS = "pmid bigint, wiki_id bigint, mentions bigint"
@@ -101,3 +101,24 @@ def test_buckets_keep_earlier_runs(spark, rows, tmp_path):
     assert rows(table.read(spark, "4")) == rows(table.read(spark, "3"))
     empty = BucketTable(str(tmp_path), "e", "k bigint, v string", "k", buckets=4)
     assert empty.write(table.read(spark, "3").limit(0), "1") == [] and empty.read(spark, "1").count() == 0
+
+
+def test_changes_of_documents_are_formed_in_one_pass(spark, rows):
+    """Documents that come, go, change and stay: the changes are the difference of the shares, and nothing that stays is listed."""
+    rng = random.Random(5)
+    before = some_docs(rng, range(30), 10, 20) | {100 + k: {1: 2, 2: 1} for k in range(5)}
+    after = some_docs(rng, range(20, 40), 10, 20) | {k: before[k] for k in range(10)} | {100 + k: {1: 2, 2: 1, 3: 1} for k in range(5)}
+    got = share_changes(frame(spark, before), frame(spark, after), block=4)
+    parts = [shares(frame(spark, docs), 4) for docs in (before, after)]
+    for n, (keys, values) in enumerate(((("wid1", "wid2"), ("shared", "freq")), (("wiki_id",), ("docs", "own")))):
+        was, now = ({r[: len(keys)]: r[len(keys) :] for r in rows(part[n], *keys, *values)} for part in parts)
+        zero = (0, 0)
+        want = {k: tuple(b - a for a, b in zip(was.get(k, zero), now.get(k, zero))) for k in was.keys() | now.keys()}
+        assert {r[: len(keys)]: r[len(keys) :] for r in rows(got[n], *keys, *values)} == {k: v for k, v in want.items() if any(v)}
+
+
+def test_pair_changes_of_unchanged_pairs_are_not_formed(spark, rows):
+    before = {1: {1: 1, 2: 1, 3: 1}, 2: {1: 1, 2: 1}, 3: {4: 1, 5: 1}}
+    after = {1: {1: 1, 2: 1, 3: 1, 4: 1}, 2: {1: 1, 2: 1}, 4: {4: 1, 5: 1}}
+    found = incremental.pair_changes(frame(spark, before), frame(spark, after))
+    assert rows(found, "wid1", "wid2", "freq") == [(1, 4, 1), (2, 4, 1), (3, 4, 1)]
