@@ -172,6 +172,25 @@ def test_all_links_equal_brute_force(documents, size, percent):
     assert all(r.n_links == sum(r.doc_id in p for p in want) for r in rows)
 
 
+def test_the_query_counts_every_link(spark, tmp_path):
+    """Also those inside a component that holds together without them."""
+    from netloom.llm.queries import QUERIES
+
+    rng = random.Random(9)
+    texts = [t for _ in range(3) for t in near_copies(rng, rng.randint(2, 6))] + near_copies(rng, 30, 60)
+    pairs = list(enumerate([*texts, texts[-1], "", None, "one"]))
+    spark.createDataFrame(pairs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op4_ngram_join"](spark, str(tmp_path)).collect()
+    agree(rows, pairs, 3, 90)
+    want = linked(pairs, 3, 90)
+    assert {r.doc_id: r.n_links for r in rows} == {n: sum(n in p for p in want) for n, _ in pairs}
+    assert len(want) > 2 * len(pairs)
+    cls = {r.doc_id: r["class"] for r in rows}
+    for r in rows:
+        others = [cls[b if r.doc_id == a else a] for a, b in want if r.doc_id in (a, b)]
+        assert r.linked == min((c for c in others if c != cls[r.doc_id]), default=None)
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
 def test_components_hang_together_by_verified_links(documents, size, percent):
     rng = random.Random(size + 1)
