@@ -7,6 +7,8 @@ the coherence of an entity with the other entities of the document. Entries may
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from netloom.operators.scoring import mention_counts, profile_pairs
@@ -73,7 +75,7 @@ def candidate_runs(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
 
     The dictionary is a trie laid out as tables, one per number of words. All token positions meet the first table; a position goes on to
     the next one only while the words from it on are the beginning of an entry. A table is broadcast where it is small, and joined
-    otherwise. A position carries ``STEP`` words; the few that get past these fetch the next ones.
+    otherwise. A position carries ``STEP`` words at most; the few that get past these fetch the next ones.
     """
     spark = docs.sparkSession
     path = new_path(spark, "prefixes")
@@ -88,7 +90,8 @@ def candidate_runs(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
         words = materialize(words.withColumn("_doc", F.monotonically_increasing_id()), "tokens")
     else:
         words = words.withColumn("_doc", F.lit(None).cast("bigint"))
-    at = words.select("pmid", "_doc", F.posexplode(F.transform("_t", lambda w, i: F.slice("_t", i + 1, STEP))).alias("start", "_run"))
+    ahead = max(min(STEP, longest), 1)
+    at = words.select("pmid", "_doc", F.posexplode(F.transform("_t", lambda w, i: F.slice("_t", i + 1, ahead))).alias("start", "_run"))
     open_ = at.select("*", F.lit("").alias("_head"), F.lit(0).cast("bigint").alias("_hash"))
     found = []
     for base in range(0, longest, STEP):
@@ -135,29 +138,47 @@ def longest_matches(matches: DataFrame, key: str = "pmid") -> DataFrame:
 
     Documents are cut where no match spans, and each stretch of overlapping matches is settled by itself.
     """
+    return _settled(matches.select(key, "start", "words"), key, F.collect_set)
+
+
+def _settled(matches: DataFrame, key: str, collect: Callable[[Column], Column]) -> DataFrame:
+    """The rows of ``matches`` (key, start, words, ...) that stay, collected per stretch; what else a row has is carried along, so that nothing
+    is joined back. Rows at one place stay or go together."""
+    more = [c for c in matches.columns if c not in (key, "start", "words")]
     before = Window.partitionBy(key).orderBy("start", "words").rowsBetween(Window.unboundedPreceding, -1)
     up_to = Window.partitionBy(key).orderBy("start", "words").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = F.max(F.col("start") + F.col("words")).over(before)
-    stretches = (
-        matches.select(key, "start", "words")
-        .withColumn("_opens", F.coalesce(F.col("start") >= reached, F.lit(True)).cast("int"))
-        .withColumn("_stretch", F.sum("_opens").over(up_to))
+    stretches = matches.withColumn("_opens", F.coalesce(F.col("start") >= reached, F.lit(True)).cast("int")).withColumn(
+        "_stretch", F.sum("_opens").over(up_to)
     )
-    order = F.struct((-F.col("words")).alias("shorter"), "start", "words")
+    order = F.struct((-F.col("words")).alias("shorter"), "start", "words", *more)
 
     def settle(kept: Column, m: Column) -> Column:
+        there = (F.element_at(kept, -1)["start"] == m["start"]) & (F.element_at(kept, -1)["words"] == m["words"])
         clash = F.exists(kept, lambda k: (k["start"] < m["start"] + m["words"]) & (m["start"] < k["start"] + k["words"]))
-        return F.when(clash, kept).otherwise(F.concat(kept, F.array(m)))
+        return F.when((F.size(kept) > 0) & ~there & clash, kept).otherwise(F.concat(kept, F.array(m)))
 
-    ordered = F.sort_array(F.collect_set(order))
+    ordered = F.sort_array(collect(order))
     chosen = F.aggregate(ordered, F.slice(ordered, 1, 0), settle)
     return stretches.groupBy(key, "_stretch").agg(chosen.alias("_kept")).select(key, F.explode("_kept").alias("_m")).select(
-        key, "_m.start", "_m.words"
+        key, "_m.start", "_m.words", *[f"_m.{c}" for c in more]
+    )
+
+
+def settled_spots(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(pmid, start, words, spot, alike): the runs of tokens of ``docs`` that ``annotate`` takes for spots, stored; ``alike`` counts the rows of a place.
+
+    They depend on the spots of the dictionary alone, not on its senses, so annotations of the same documents can share them.
+    """
+    found = candidate_runs(docs.where("pmid is not null"), dictionary).join(dictionary.select("spot").distinct(), "spot", "left_semi")
+    place = Window.partitionBy("pmid", "start", "words")
+    return materialize(
+        _settled(found.select("pmid", "start", "words", "spot"), "pmid", F.collect_list).withColumn("alike", F.count(F.lit(1)).over(place)), "spots"
     )
 
 
 def annotate(
-    docs: DataFrame, dictionary: DataFrame, epsilon: float = 0.0, related: DataFrame | None = None
+    docs: DataFrame, dictionary: DataFrame, epsilon: float = 0.0, related: DataFrame | None = None, spots: DataFrame | None = None
 ) -> DataFrame:
     """(pmid, start, end, spot, wiki_id, title, link_probability, rho, categories) for ``docs`` (pmid, text).
 
@@ -165,24 +186,35 @@ def annotate(
     tokens. With ``related`` (wid1, wid2, relatedness) rho is the mean of link probability and coherence: a spot takes the
     sense that has the highest rho among all senses of the document, and is scored among the senses taken. Without it
     the coherence is 0 and a spot takes its most common sense. Ties go to the more common sense, then to the smaller wiki_id. Rows without a title or with rho below ``epsilon`` are dropped.
+    ``spots``: ``settled_spots`` of the same documents and spots, where they are known already.
     """
-    senses = dictionary if related is not None else best_senses(dictionary)
-    found = candidate_runs(docs, dictionary).join(senses, "spot")
+    spots = settled_spots(docs, dictionary) if spots is None else spots
     if related is None:
-        scored = found.join(longest_matches(found), ["pmid", "start", "words"], "left_semi")
-        scored = scored.withColumn("rho", F.col("link_probability") / 2)
+        scored = spots.join(best_senses(dictionary), "spot").withColumn("rho", F.col("link_probability") / 2)
     else:
-        found = materialize(found, "candidates")
-        kept = materialize(found.join(longest_matches(found), ["pmid", "start", "words"], "left_semi"), "matches")
-        first = Window.partitionBy("pmid", "start", "words").orderBy(F.desc("rho"), F.desc("commonness"), "wiki_id")
-        chosen = rated(kept, related).withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth", "rho")
-        scored = rated(materialize(chosen, "senses"), related)
+        senses = dictionary.withColumn("_senses", F.count(F.lit(1)).over(Window.partitionBy("spot")))
+        kept = spots.join(senses, "spot").withColumn("_choice", (F.col("alike") > 1) | (F.col("_senses") > 1)).drop("alike", "_senses")
+        scored = rated(_chosen(materialize(kept, "matches"), related), related)
     return scored.where(F.col("title").isNotNull() & (F.col("rho") >= F.lit(epsilon))).select(
         "pmid", "start", (F.col("start") + F.col("words")).alias("end"), "spot", "wiki_id", "title",
         "link_probability", "rho", "categories",
     )
 
 
+def _chosen(kept: DataFrame, related: DataFrame) -> DataFrame:
+    """One sense for each place of ``kept``, whose ``_choice`` tells where there are several rows to choose from.
+
+    Only documents with such a place are rated for it, with all their rows, on which the coherence of the senses rests.
+    """
+    open_ = materialize(kept.where("_choice").select("pmid").distinct(), "open")
+    if open_.isEmpty():
+        return kept.drop("_choice")
+    first = Window.partitionBy("pmid", "start", "words").orderBy(F.desc("rho"), F.desc("commonness"), "wiki_id")
+    weighed = rated(kept.join(open_, "pmid", "left_semi"), related)
+    chosen = weighed.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth", "rho")
+    return materialize(chosen.unionByName(kept.join(open_, "pmid", "left_anti")).drop("_choice"), "senses")
+
+
 def rated(matches: DataFrame, related: DataFrame) -> DataFrame:
     """``matches`` with ``rho``, the mean of link probability and coherence."""
     return matches.join(coherence(matches, related), ["pmid", "wiki_id"], "left").withColumn(

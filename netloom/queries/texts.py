@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from netloom.functions import text as fn
 from netloom.functions.parsing import attribute
 from netloom.operators import scoring, textjobs
-from netloom.operators.annotate import annotate, document_text, filter_categories, ngrams, tokens
+from netloom.operators.annotate import annotate, document_text, filter_categories, ngrams, settled_spots, tokens
 from netloom.queries.entities import text
 from netloom.queries.registry import Registry, Tables
 from netloom.queries.sqltext import pair_ctes
@@ -87,10 +87,11 @@ def annotate_coherence(t: Tables) -> DataFrame:
     """Annotations scored with the relatedness that the annotations themselves give."""
     docs = t.documents.select(F.col("doc_id").alias("pmid"), "text")
     words = materialize(dictionary(t), "dictionary")
-    counts = scoring.stored_counts(annotate(docs, words), "distinct")
+    spots = settled_spots(docs, words)
+    counts = scoring.stored_counts(annotate(docs, words, spots=spots), "distinct")
     pairs = scoring.stored_pairs(scoring.stored_profiles(counts))
     related = scoring.relatedness(pairs, scoring.corpus_size(counts))
-    found = annotate(docs, words, related=related)
+    found = annotate(docs, words, related=related, spots=spots)
     return found.select(
         "pmid", F.col("start").cast("bigint").alias("start"), "spot", "wiki_id", F.round(F.col("rho") + F.lit(1e-12), 6).alias("rho")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from netloom.functions.ids import packed, unpacked
 from netloom.operators import export, networks
-from netloom.operators.annotate import annotate, candidate_runs, document_text, filter_categories, longest_matches
+from netloom.operators.annotate import annotate, candidate_runs, document_text, filter_categories, longest_matches, settled_spots
 
 RELATION = "NAME1 string, IDX1 string, NAME2 string, IDX2 string, REFERENCE string, TYPE string"
 ALIAS = "IDX string, NAME string, TYPE string, alias string"
@@ -156,6 +156,33 @@ def test_coherence_raises_the_score(spark):
     assert {k: round(v, 6) for k, v in got.items()} == {1: 0.25, 2: 0.6, 3: 0.25}
 
 
+def test_annotations_share_their_spots(spark, rows):
+    """Spots are found once for several annotations; rows of documents with one key stay, a choice leaves one a place."""
+    docs = spark.createDataFrame([(1, "therapy of the gene"), (1, "therapy of the gene"), (2, "Gene therapy"), (3, "a gene"), (None, "gene")], "pmid int, text string")
+    related = spark.createDataFrame([(1, 4, 0.9)], "wid1 int, wid2 int, relatedness double")
+    spots = settled_spots(docs, dictionary(spark))
+    assert rows(spots) == [(1, 0, 1, "therapy", 2), (1, 0, 1, "therapy", 2), (1, 3, 1, "gene", 2), (1, 3, 1, "gene", 2), (2, 0, 2, "gene therapy", 1), (3, 1, 1, "gene", 1)]
+    nothing = docs.limit(0)
+    found = annotate(nothing, dictionary(spark), spots=spots)
+    assert rows(found, "pmid", "start", "wiki_id") == [(1, 0, 3), (1, 0, 3), (1, 3, 1), (1, 3, 1), (2, 0, 2), (3, 1, 1)]
+    chosen = annotate(nothing, dictionary(spark), related=related, spots=spots)
+    assert [(*r[:3], round(r[3], 6)) for r in rows(chosen, "pmid", "start", "wiki_id", "rho")] == [(1, 0, 4, 0.65), (1, 3, 1, 0.55), (2, 0, 2, 0.4), (3, 1, 1, 0.1)]
+
+
+def test_the_coherence_query_finds_its_spots_once(spark, tmp_path, monkeypatch):
+    from netloom.operators import annotate as module
+    from netloom.queries.texts import QUERIES
+
+    calls, whole = [], module.candidate_runs
+    monkeypatch.setattr(module, "candidate_runs", lambda *args: calls.append(1) or whole(*args))
+    spark.createDataFrame([(1, "a b c d"), (2, "c d e"), (3, "e a")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, "x a b c d y c d e"), (2, "e a a"), (3, None)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {(r.pmid, r.start, r.spot) for r in QUERIES["annotate_coherence"](spark, str(tmp_path)).collect()} == {
+        (1, 1, "a b c d"), (1, 6, "c d e"), (2, 0, "e a"), (2, 2, "a"),
+    }
+    assert len(calls) == 1
+
+
 def test_text_is_null_without_abstract(spark):
     df = spark.createDataFrame([("T", "A"), ("T", None)], "t string, a string")
     assert [r[0] for r in df.select(document_text(F.col("t"), F.col("a"))).collect()] == ["T\nA", None]
