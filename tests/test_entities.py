@@ -133,6 +133,31 @@ def test_typed_relations(spark, rows):
     ]
 
 
+def test_ids_that_follow_from_a_name_are_not_shuffled(spark, rows):
+    from pyspark.sql import functions as F
+
+    from netloom.functions.ids import entity_id, lengthened, packed, shortened, unpacked
+    from netloom.operators import relations as module
+
+    made = entity_id("T", F.col("name"), prefix="Q")
+    ids = spark.createDataFrame([("n", None), ("", None), (None, None), ("n", "KN_T:x"), ("n", ""), ("n", "Q_T:" + "0" * 32)], "name string, own string")
+    whole = ids.withColumn("idx", F.coalesce("own", made)).unionByName(ids.limit(1).withColumn("idx", F.lit(None).cast("string")))
+    short = whole.withColumn("pack", shortened(F.col("idx"), "T", F.col("name"), "Q"))
+    assert short.where("pack is null").count() == 3
+    assert short.where(~lengthened(F.col("pack"), "T", F.col("name"), "Q").eqNullSafe(F.col("idx"))).count() == 0
+
+    index = build_index("T", [source(spark, [("1", "n", "a"), ("2", "n", "b"), ("3", None, "c"), ("4", "m", None)])], "Q").stored()
+    found = spark.createDataFrame([("1", "x", "", "t-u"), ("2", "x", "", "t-u"), ("3", "x", "r", "t-u"), ("9", "x", "", "t-u")], "SOURCE_ID string, NAME2 string, REFERENCE string, TYPE string")
+    edges = spark.createDataFrame([("1", "4"), ("2", "4"), ("3", "3")], "a string, b string")
+    got = module.index_relations(index, [found], [(edges, "t")])
+    want = module.near_ends(found, index).unionByName(same_type_relations(index, edges, "t")).distinct()
+    assert rows(got) == rows(want) and len(rows(got)) == 4
+    idx = {r.NAME1: r.IDX1 for r in got.collect()}
+    assert idx["n"] == "Q_T:7b8b965ad4bca0e41ab51de7b31363a1" and idx[None] != idx["n"]
+    assert [r.NAME1 for r in module._near(found, index).where("IDX1 is not null").collect()] == [None]
+    assert rows(index.aliases.select("IDX").where("NAME = 'n'").distinct()) == [(idx["n"],)]
+
+
 def test_same_type_relations_and_consolidation(spark, rows):
     index = build_index("T", [source(spark, [("1", "n", "a"), ("2", "m", "b")])])
     edges = spark.createDataFrame([("1", "2"), ("1", "2"), ("1", "9")], "a string, b string")
