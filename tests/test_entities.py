@@ -158,6 +158,21 @@ def test_ids_that_follow_from_a_name_are_not_shuffled(spark, rows):
     assert rows(index.aliases.select("IDX").where("NAME = 'n'").distinct()) == [(idx["n"],)]
 
 
+def test_input_files_are_compressed(spark, rows):
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from netloom.queries.entities import text_file
+    from netloom.queries.registry import Tables
+    from netloom.sources.spec import read_lines
+
+    lines = spark.createDataFrame([("a",), ("b c",)], "v string")
+    path = text_file(Tables(spark, ""), F.col("v"), lines, "lines")
+    assert glob.glob(f"{path.removeprefix('file:')}/*.txt.gz")
+    assert rows(read_lines(spark, path), "value") == [("a",), ("b c",)]
+
+
 def test_same_type_relations_and_consolidation(spark, rows):
     index = build_index("T", [source(spark, [("1", "n", "a"), ("2", "m", "b")])])
     edges = spark.createDataFrame([("1", "2"), ("1", "2"), ("1", "9")], "a string, b string")
